@@ -42,16 +42,12 @@ def parse_bin(has_start: Column, start: Column, has_end: Column, end: Column, la
 BIN_FIELDS = {"start": AGE_START_NAMES, "end": AGE_END_NAMES, "label": AGE_LABEL_NAMES}
 
 
-def bin_numbers() -> list[Column]:
-    """The whole numbers of the unpacked ``BIN_FIELDS``."""
-    return [fields.whole("start").alias("start"), fields.whole("end").alias("end")]
+def record_bin(f: dict[str, fields.Field]) -> Column:
+    """``parse_bin`` on unpacked ``BIN_FIELDS``, their whole numbers in ``start`` and ``end``.
 
-
-def record_bin() -> Column:
-    """``parse_bin`` on unpacked ``BIN_FIELDS`` with their ``bin_numbers``."""
-    return parse_bin(
-        fields.present("start"), F.col("start"), fields.present("end"), F.col("end"), fields.string_only("label")
-    )
+    A label that is not a string cannot look like a range.
+    """
+    return parse_bin(f["start"].present(), F.col("start"), f["end"].present(), F.col("end"), f["label"].text())
 
 
 def fertile(age_min: Column, age_max: Column) -> Column:

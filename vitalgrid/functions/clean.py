@@ -27,7 +27,15 @@ def _col(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    return F.btrim(_col(c), F.lit(WHITESPACE))
+    """Without surrounding white space of any kind.
+
+    Where plain trimming leaves printable ASCII at both ends nothing more can
+    come off, and the slow search through the whole character set is spared.
+    """
+    c = _col(c)
+    bare = F.trim(c)
+    done = F.ascii(bare).between(33, 126) & F.ascii(F.substring(bare, -1, 1)).between(33, 126)
+    return F.when(done, bare).otherwise(F.btrim(c, F.lit(WHITESPACE)))
 
 
 def code(c: Column | str) -> Column:

@@ -1,13 +1,15 @@
 """Fields of JSON records, with the numeric rules of the source APIs.
 
 A JSON number and a JSON string may hold the same digits but are read by
-different rules (2015.7 is the year 2015, '2015.7' is none). ``unpack`` takes
-each field out of the record once, as its text and its kind; the readers work
-on those two flat columns.
+different rules (2015.7 is the year 2015, '2015.7' is none). All fields of a
+record are taken out as text in one pass; the kind of a value is looked up only
+where its text leaves it open.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,91 +20,86 @@ def once(df: DataFrame, *columns: Column) -> DataFrame:
     """Add columns that are computed a single time per row.
 
     They leave a generator, so a later filter on something derived from them
-    is not pushed below and does not parse the record again.
+    is not pushed below and does not compute them again.
     """
     return df.select("*", F.inline(F.array(F.struct(*columns))))
 
 
-def unpack(df: DataFrame, rec: str, fields: dict[str, list[str]]) -> DataFrame:
-    """Replace the record column by ``<field>_text`` and ``<field>_kind`` columns.
-
-    Each field lists the spellings to try; the first that is there and not
-    JSON null is taken, so zero and '' count as there. Records that are not
-    objects have no fields.
-    """
-    members = once(df, F.from_json(rec, "map<string,variant>").alias("_members")).drop(rec)
-
-    def first(spellings: list[str]) -> Column:
-        looked_up = F.transform(
-            F.array(*[F.lit(s) for s in spellings]), lambda s: F.try_element_at(F.col("_members"), s)
+@dataclass(frozen=True)
+class Field:
+    """A field of an unpacked record: the spellings to try and their columns."""
+
+    record: str
+    spellings: list[str]
+    columns: list[str]
+
+    def text(self) -> Column:
+        """The value of the first spelling that is there and not JSON null, as text."""
+        return F.coalesce(*[F.col(c) for c in self.columns])
+
+    def present(self) -> Column:
+        """Zero and '' count as present."""
+        return self.text().isNotNull()
+
+    def kind(self) -> Column:
+        """The JSON type of that value. Costly; use it behind a cheaper test."""
+        out = None
+        for spelling, column in zip(self.spellings, self.columns):
+            found = F.schema_of_variant(F.try_variant_get(self.record, f"$.{spelling}", "variant"))
+            there = F.col(column).isNotNull()
+            out = F.when(there, found) if out is None else out.when(there, found)
+        return out
+
+    def is_text(self) -> Column:
+        return self.kind() == "STRING"
+
+    def string_only(self) -> Column:
+        """The text of a JSON string, NULL for any other kind."""
+        value = self.text()
+        unquoted = value.rlike(r"^[-0-9\[{]|^true$|^false$") & ~self.is_text()
+        return F.when(~unquoted, value)
+
+    def number(self) -> Column:
+        value = self.text()
+        return F.when(value.isin("true", "false"), F.when(self.kind() == "BOOLEAN", (value == "true").cast("double"))).otherwise(
+            clean.double_or_null(value)
         )
-        return F.get(F.filter(looked_up, lambda v: v.isNotNull() & ~F.is_variant_null(v)), 0)
-
-    found = once(members, *[first(s).alias(f"_{name}") for name, s in fields.items()]).drop("_members")
-    flat = []
-    for name in fields:
-        flat.append(F.try_variant_get(f"_{name}", "$", "string").alias(f"{name}_text"))
-        flat.append(F.schema_of_variant(f"_{name}").alias(f"{name}_kind"))
-    return once(found, *flat).drop(*[f"_{name}" for name in fields])
-
-
-def present(name: str) -> Column:
-    return F.col(f"{name}_text").isNotNull()
-
-
-def is_text(name: str) -> Column:
-    return F.col(f"{name}_kind") == "STRING"
-
-
-def text(name: str) -> Column:
-    return F.col(f"{name}_text")
-
-
-def string_only(name: str) -> Column:
-    """The text of a JSON string, NULL for any other kind."""
-    return F.when(is_text(name), text(name))
-
-
-def number(name: str) -> Column:
-    value = text(name)
-    return (
-        F.when(is_text(name), clean.double_or_null(value))
-        .when(F.col(f"{name}_kind") == "BOOLEAN", (value == "true").cast("double"))
-        .otherwise(value.try_cast("double"))
-    )
-
-
-def whole(name: str) -> Column:
-    """JSON numbers lose their fraction; strings must be whole already."""
-    value = text(name)
-    return (
-        F.when(is_text(name), clean.int_or_null(value))
-        .when(F.col(f"{name}_kind") == "BOOLEAN", (value == "true").cast("int"))
-        .otherwise(value.try_cast("double").try_cast("int"))
-    )
 
+    def whole(self) -> Column:
+        """JSON numbers lose their fraction; strings must be whole already."""
+        value = self.text()
+        return F.when(value.rlike(r"^-?[0-9]+$"), value.try_cast("int")).otherwise(
+            F.when(self.is_text(), clean.int_or_null(value))
+            .when(value == "true", 1).when(value == "false", 0)
+            .otherwise(value.try_cast("double").try_cast("int"))
+        )
 
-def truthy(name: str) -> Column:
-    """There, and neither zero, false nor the empty string."""
-    value = text(name)
-    return present(name) & (
-        F.when(is_text(name), value != "")
-        .when(F.col(f"{name}_kind") == "BOOLEAN", value == "true")
-        .otherwise(F.coalesce(value.try_cast("double") != 0, F.lit(True)))
-    )
+    def truthy(self) -> Column:
+        """There, and neither zero, false nor the empty string."""
+        value = self.text()
+        open_case = value.rlike(r"^-?0(\.0+)?([eE][+-]?[0-9]+)?$|^false$")
+        return value.isNotNull() & (value != "") & F.when(open_case, self.is_text()).otherwise(True)
 
 
-def first_truthy(df: DataFrame, out: str, names: list[str]) -> DataFrame:
-    """Add ``<out>_text`` and ``<out>_kind``: the first truthy field of a chain.
+def unpack(df: DataFrame, rec: str, fields: dict[str, list[str]]) -> tuple[DataFrame, dict[str, Field]]:
+    """The rows with every spelling of every field as a text column, and the fields.
 
-    As with a chain of "or", the last one is taken as it is.
+    Records that are not objects have no fields.
     """
-    *head, last = names
-
-    def chosen(part: str) -> Column:
-        c = F.col(f"{last}_{part}")
-        for name in reversed(head):
-            c = F.when(truthy(name), F.col(f"{name}_{part}")).otherwise(c)
-        return c.alias(f"{out}_{part}")
-
-    return once(df, chosen("text"), chosen("kind"))
+    spellings, made = [], {}
+    for name, wanted in fields.items():
+        columns = [f"_{name}_{i}" for i in range(len(wanted))]
+        made[name] = Field(rec, list(wanted), columns)
+        spellings += wanted
+    aliases = [c for f in made.values() for c in f.columns]
+    whole = F.try_variant_get(rec, "$", "string")
+    return df.select("*", F.json_tuple(whole, *spellings).alias(*aliases)), made
+
+
+def first_truthy(fields: list[Field], read) -> Column:
+    """``read`` of the first truthy field of a chain, the last one taken as it is."""
+    *head, last = fields
+    out = read(last)
+    for field in reversed(head):
+        out = F.when(field.truthy(), read(field)).otherwise(out)
+    return out

@@ -25,15 +25,17 @@ def groupable(records: DataFrame) -> DataFrame:
     looks at these rows too.
     """
     wanted = {"sex": SEX_NAMES, "variant": VARIANT_NAMES, "value": VALUE_NAMES, **ages.BIN_FIELDS}
+    texts, f = fields.unpack(records, "rec", wanted)
     typed = fields.once(
-        fields.unpack(records, "rec", wanted),
-        fields.whole("sex").alias("sex"),
-        clean.code(fields.string_only("variant")).alias("variant"),
-        fields.number("value").alias("asfr"),
-        *ages.bin_numbers(),
+        texts,
+        f["sex"].whole().alias("sex"),
+        clean.code(f["variant"].string_only()).alias("variant"),
+        f["value"].number().alias("asfr"),
+        f["start"].whole().alias("start"),
+        f["end"].whole().alias("end"),
     )
     rows = typed.where(F.col("sex").isNotNull() & (F.col("variant") != ""))
-    return fields.once(rows, ages.record_bin().alias("bin")).select(
+    return fields.once(rows, ages.record_bin(f).alias("bin")).select(
         *SLICE, "_page", "_pos", "sex", "variant", "bin", "asfr"
     )
 

@@ -36,22 +36,27 @@ def clean_airports(raw: DataFrame, iso_codes: DataFrame) -> DataFrame:
     )
 
 
-def with_countries(arrivals: DataFrame, airports: DataFrame) -> DataFrame:
-    """International arrivals with origin and destination country.
+def with_destination(requests: DataFrame, airports: DataFrame) -> DataFrame:
+    """Add the country of the airport that was asked; unknown airports drop out.
 
-    The destination is the country of the airport that was asked; the origin
-    that of the departure airport. Unknown departures and flights within one
-    country drop out. The airport table is not hinted: it is broadcast if its
-    size allows and shuffled, with skew splitting, if not.
+    Meant for the request side, before its flights are expanded: one row per
+    request is joined instead of one per flight.
     """
-    codes = airports.select("icao_code", "iso3")
-    departure = clean.code("estDepartureAirport")
-    flights = arrivals.withColumn("_dep", departure).where(F.col("_dep") != "")
-    to = codes.select(F.col("icao_code").alias("queried_airport"), F.col("iso3").alias("destination_iso3"))
-    via = codes.select(F.col("icao_code").alias("_dep"), F.col("iso3").alias("origin_iso3"))
+    to = airports.select(F.col("icao_code").alias("queried_airport"), F.col("iso3").alias("destination_iso3"))
+    return requests.join(to, "queried_airport")
+
+
+def with_origin(flights: DataFrame, airports: DataFrame) -> DataFrame:
+    """Add the country of the departure airport.
+
+    Unknown departures and flights within one country drop out. The airport
+    table is not hinted: it is broadcast if its size allows and shuffled, with
+    skew splitting, if not.
+    """
+    via = airports.select(F.col("icao_code").alias("_dep"), F.col("iso3").alias("origin_iso3"))
     return (
-        flights.join(via, "_dep")
-        .join(to, "queried_airport")
+        flights.withColumn("_dep", clean.code("estDepartureAirport"))
+        .join(via, "_dep")
         .where(F.col("origin_iso3") != F.col("destination_iso3"))
         .drop("_dep")
     )

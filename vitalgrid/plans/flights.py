@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitalgrid.functions import clean
 from vitalgrid.operators import mobility
 from vitalgrid.operators.pick import last_write_wins
 from vitalgrid.refdata import MAX_UNREACHABLE, aircraft_seats, iso_codes
@@ -35,5 +36,6 @@ def volume_rows(
     cover = mobility.coverage(payloads.fetch_outcomes(log), airports, limit)
     if strict:
         mobility.require_coverage(cover)
-    flights = mobility.with_countries(payloads.arrivals(log), airports)
+    asked = mobility.with_destination(log.withColumn("queried_airport", clean.code("airport")), airports)
+    flights = mobility.with_origin(payloads.arrivals(asked), airports)
     return mobility.gated(mobility.pair_volumes(flights), cover), cover

@@ -40,20 +40,19 @@ def who_rows(
     that the row is dropped.
     """
     records = payloads.odata_records(_requested(pages, list(countries), names), REQUEST)
-    names_of = ["TimeDim", "TimeDimensionValue", "NumericValue", "Value", "Low", "High", "Dim1", "Dim1Type", "Dim2", "Dim2Type"]
-    rows = fields.unpack(records, "rec", {n: [n] for n in names_of})
-    rows = fields.first_truthy(rows, "year", ["TimeDim", "TimeDimensionValue"])
-    rows = fields.first_truthy(rows, "reading", ["NumericValue", "Value"])
+    wanted = ["TimeDim", "TimeDimensionValue", "NumericValue", "Value", "Low", "High", "Dim1", "Dim1Type", "Dim2", "Dim2Type"]
+    texts, f = fields.unpack(records, "rec", {n: [n] for n in wanted})
+    number, whole = fields.Field.number, fields.Field.whole
 
     def label(first: str, second: str) -> Column:
-        return F.when(fields.truthy(first), fields.text(first)).when(fields.truthy(second), fields.text(second))
+        return F.when(f[first].truthy(), f[first].text()).when(f[second].truthy(), f[second].text())
 
     typed = fields.once(
-        rows,
-        fields.whole("year").alias("year"),
-        fields.number("reading").alias("numeric_value"),
-        fields.number("Low").alias("low_value"),
-        fields.number("High").alias("high_value"),
+        texts,
+        fields.first_truthy([f["TimeDim"], f["TimeDimensionValue"]], whole).alias("year"),
+        fields.first_truthy([f["NumericValue"], f["Value"]], number).alias("numeric_value"),
+        f["Low"].number().alias("low_value"),
+        f["High"].number().alias("high_value"),
         F.upper(clean.label_or(label("Dim1", "Dim1Type"), "BTSX")).alias("sex"),
         clean.label_or(label("Dim2", "Dim2Type"), "TOTAL").alias("age_group"),
     ).select(*REQUEST, "year", "numeric_value", "low_value", "high_value", "sex", "age_group", *ORDER)
@@ -71,8 +70,8 @@ def worldbank_rows(
 ) -> DataFrame:
     """Rows of the World Bank series in delivery order; zero is a value here."""
     records = payloads.paged_pair_records(_requested(pages, list(countries), names), REQUEST)
-    rows = fields.unpack(records, "rec", {"date": ["date"], "value": ["value"]})
-    typed = fields.once(rows, fields.whole("date").alias("year"), fields.number("value").alias("value")).select(
+    texts, f = fields.unpack(records, "rec", {"date": ["date"], "value": ["value"]})
+    typed = fields.once(texts, f["date"].whole().alias("year"), f["value"].number().alias("value")).select(
         *REQUEST, "year", "value", *ORDER
     )
     kept = typed.where(F.col("year").isNotNull() & F.col("value").isNotNull() & clean.in_years("year", years))

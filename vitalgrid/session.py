@@ -6,9 +6,12 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Dates and epoch seconds are read in UTC.
 REQUIRED = {
+    # Dates and epoch seconds are read in UTC.
     "spark.sql.session.timeZone": "UTC",
+    # The JVM never compiles a method above 8000 bytes of bytecode, so a fused
+    # stage beyond that runs interpreted; split projections are faster then.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 # Left to the cluster unless unset. Skew join and partition coalescing need AQE.

@@ -1,8 +1,8 @@
 """Landed API pages to records.
 
 A landed page is one row: the request's key columns, page number, HTTP status
-and body. Records come out as JSON text ``rec`` with ``_page`` and ``_pos``, their
-delivery order.
+and body. Records come out as VARIANT ``rec`` with ``_page`` and ``_pos``, their delivery
+order.
 The outcome of a request is data too: "nothing there" (404) and "no answer"
 are kept apart, and an unexpected status fails the scan instead of passing for
 an empty result.
@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 from vitalgrid.functions.flights import window_date
 from vitalgrid.refdata import ENVELOPE_NAMES, MAX_ATTEMPTS
 
-RECORDS = "array<string>"
+RECORDS = "array<variant>"
+
+# Why reading a paged request ends, in order of precedence on one page.
+LAST, MISSING, NO_LIST = 0, 1, 2
 
 
 def _checked_body(allow: list[int]) -> Column:
@@ -47,28 +50,27 @@ def paged_pair_records(pages: DataFrame, keys: list[str]) -> DataFrame:
     has no record list (earlier pages are kept), or is the last one announced
     by its metadata (that page is kept too).
     """
-    body = F.col("body")
-    size = F.json_array_length(body)
-    no_list = (
-        F.coalesce(size, F.lit(0)) < 2
-    ) | F.coalesce(F.get_json_object(body, "$[1]"), F.lit("null")).isin("null", "")
-    announced = F.coalesce(F.get_json_object(body, "$[0].pages").try_cast("int"), F.lit(1))
+    doc = F.col("_doc")
+    listed = F.try_variant_get(doc, "$[1]", "variant")
+    no_list = listed.isNull() | F.is_variant_null(listed)
+    announced = F.coalesce(F.try_variant_get(doc, "$[0].pages", "int"), F.lit(1))
     end = (
-        F.when(F.col("status") == 404, "missing")
-        .when(no_list, "no_list")
-        .when(F.col("page") >= announced, "last")
+        F.when(F.col("status") == 404, MISSING).when(no_list, NO_LIST).when(F.col("page") >= announced, LAST)
     )
+    # Page and reason as one number, so the first end of a request is a plain
+    # minimum with a map-side part.
     ends = (
-        pages.select(*keys, "page", end.alias("_end"))
+        pages.select(*keys, "page", "status", F.try_parse_json("body").alias("_doc"))
+        .select(*keys, (F.col("page").cast("bigint") * 3 + end).alias("_end"))
         .where(F.col("_end").isNotNull())
         .groupBy(*keys)
-        .agg(F.min(F.struct("page", "_end")).alias("_first"))
-        .select(*keys, F.col("_first.page").alias("_at"), F.col("_first._end").alias("_why"))
+        .agg(F.min("_end").alias("_end"))
+        .select(*keys, F.floor(F.col("_end") / 3).alias("_at"), F.pmod("_end", F.lit(3)).alias("_why"))
     )
     keep = (
         F.col("_at").isNull()
-        | ((F.col("_why") == "last") & (F.col("page") <= F.col("_at")))
-        | ((F.col("_why") == "no_list") & (F.col("page") < F.col("_at")))
+        | ((F.col("_why") == LAST) & (F.col("page") <= F.col("_at")))
+        | ((F.col("_why") == NO_LIST) & (F.col("page") < F.col("_at")))
     )
     kept = pages.where(~F.col("status").eqNullSafe(404)).join(ends, keys, "left").where(keep)
     parsed = kept.select(*keys, F.col("page").alias("_page"), _checked_body([200]).alias("_doc"))
@@ -117,16 +119,18 @@ def fetch_outcomes(log: DataFrame) -> DataFrame:
 def arrivals(log: DataFrame) -> DataFrame:
     """Arriving flights of every answered request; a null body means none.
 
-    The first answer ends a request, so later attempts are left out.
+    The first answer ends a request, so later attempts are left out. Columns
+    the log has beyond its own are passed on to the flights.
     """
+    request = ["airport", "begin", "end"]
+    extra = [c for c in log.columns if c not in (*request, "attempt", "status", "body")]
     answers = log.where(F.col("status").isin(200, 404) & (F.col("attempt") <= MAX_ATTEMPTS))
-    first = answers.groupBy("airport", "begin", "end").agg(F.min("attempt").alias("attempt"))
+    first = answers.groupBy(*request).agg(F.min("attempt").alias("attempt"))
     some = F.col("body").isNotNull() & (F.trim("body") != "null")
-    flights = answers.where((F.col("status") == 200) & some).join(
-        first, ["airport", "begin", "end", "attempt"], "left_semi"
-    )
+    flights = answers.where((F.col("status") == 200) & some).join(first, [*request, "attempt"], "left_semi")
     return flights.select(
-        F.upper(F.trim("airport")).alias("queried_airport"),
+        F.upper(F.trim("airport")).alias("airport"),
         window_date(F.col("begin")).alias("date"),
+        *extra,
         F.explode(F.from_json("body", ARRIVAL, {"mode": "FAILFAST"})).alias("f"),
-    ).select("queried_airport", "date", "f.*")
+    ).select("airport", "date", *extra, "f.*")

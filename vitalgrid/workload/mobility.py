@@ -26,18 +26,25 @@ def _airports(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _flights(spark: SparkSession, sf: str) -> DataFrame:
-    """Order lines as arrivals: from the supplier, at the customer, on the order day."""
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey")
-    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
-    return lines.join(orders, "l_orderkey").select(
+    """Order lines as arrivals: from the supplier, at the customer, on the order day.
+
+    An order is the request; its destination is found before its lines join.
+    """
+    airports = _airports(spark, sf)
+    requests = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"),
         F.concat(F.lit("C"), "o_custkey").alias("queried_airport"),
-        F.concat(F.lit(" s"), "l_suppkey", F.lit(" ")).alias("estDepartureAirport"),
         F.col("o_orderdate").cast("date").alias("date"),
     )
+    asked = mobility.with_destination(requests, airports).drop("queried_airport")
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey", F.concat(F.lit(" s"), "l_suppkey", F.lit(" ")).alias("estDepartureAirport")
+    )
+    return mobility.with_origin(lines.join(asked, "l_orderkey"), airports)
 
 
 def _volumes(spark: SparkSession, sf: str) -> DataFrame:
-    return mobility.pair_volumes(mobility.with_countries(_flights(spark, sf), _airports(spark, sf)))
+    return mobility.pair_volumes(_flights(spark, sf))
 
 
 def pair_volumes(spark: SparkSession, sf: str) -> DataFrame:

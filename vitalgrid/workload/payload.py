@@ -67,7 +67,7 @@ def worldbank_series(spark: SparkSession, sf: str) -> DataFrame:
     """Order lines as pages; a request is an order and a line status."""
     year = F.year("l_shipdate").cast("string")
     quantity = F.col("l_quantity").cast("bigint").cast("string")
-    percent, tax = F.round(F.col("l_discount") * 100).cast("int"), F.round(F.col("l_tax") * 100).cast("int")
+    percent, tax = [(F.col(c) * 100 + 0.5).cast("int") for c in ("l_discount", "l_tax")]
     records = F.concat(
         F.lit('[{"date":"'), year, F.lit('","value":'), quantity,
         F.lit('},{"date":"'), year, F.lit('.0","value":1},{"date":'), year,
@@ -122,7 +122,7 @@ def fertility_bins(spark: SparkSession, sf: str) -> DataFrame:
         _field("Value", F.when(spelling == 1, '"junk"')),
         _field("Val", F.when(spelling == 0, _quoted(price))),
     )
-    listed = F.concat(F.lit("["), record, F.lit(',"not an object"]'))
+    listed = F.concat(F.lit("["), record, F.when(style == 3, ',"not an object"]').otherwise("]"))
     name = (
         F.when(priority == "2-HIGH", "data").when(priority == "3-MEDIUM", "items")
         .when(priority == "4-NOT SPECIFIED", "records").otherwise("result")
@@ -149,12 +149,12 @@ def envelope_explode(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(F.to_json(F.struct(F.array(turn).alias("records")))).alias("body"),
     )
     records = payloads.envelope_records(pages, ["conv_id"])
-    rows = fields.unpack(records, "rec", {n: [n] for n in ("turn", "role", "text")})
-    text = fields.text("text")
-    return rows.select(
+    texts, f = fields.unpack(records, "rec", {n: [n] for n in ("turn", "role", "text")})
+    text = f["text"].text()
+    return texts.select(
         "conv_id",
-        fields.whole("turn").alias("turn"),
-        fields.text("role").alias("role"),
+        f["turn"].whole().alias("turn"),
+        f["role"].text().alias("role"),
         F.sha2(text.cast("binary"), 256).alias("sha256"),
         F.length(text).alias("chars"),
     )
