@@ -12,6 +12,9 @@ REQUIRED = {
     # The JVM never compiles a method above 8000 bytes of bytecode, so a fused
     # stage beyond that runs interpreted; split projections are faster then.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Split a hot key of a join even where its output feeds a grouping on the
+    # same key and the split costs one more shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 # Left to the cluster unless unset. Skew join and partition coalescing need AQE.
@@ -50,13 +53,14 @@ def local_session(cpus: int = 8, shuffle_partitions: int | None = None) -> Spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session.
+    """Make sure the session has a checkpoint folder, and return it.
 
-    A cluster names it in ``spark.checkpoint.dir``; only where that is unset
-    (a local test) is a folder on this machine used.
+    A cluster names a shared one in ``spark.checkpoint.dir``; only where that is
+    unset (a local test) is a folder on this machine used.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.sparkContext.setCheckpointDir(folder)
+    context = spark.sparkContext
+    if context.getCheckpointDir():
+        return context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    context.setCheckpointDir(folder)
     return folder

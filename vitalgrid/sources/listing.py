@@ -13,7 +13,8 @@ def list_files(
 ) -> DataFrame:
     """path, length, modificationTime (and content) of files under a folder.
 
-    Without ``content`` the column is never selected, so no file is opened.
+    Without ``content`` the column is never selected, so no file is read. Empty
+    files do not appear in the scan, which is how ``files.usable`` sees them too.
     """
     scan = (
         spark.read.format("binaryFile")
