@@ -20,9 +20,12 @@ def once(df: DataFrame, *columns: Column) -> DataFrame:
     """Add columns that are computed a single time per row.
 
     They leave a generator, so a later filter on something derived from them
-    is not pushed below and does not compute them again.
+    is not pushed below and does not compute them again. One generator each
+    keeps the generated methods small enough for the JVM to compile.
     """
-    return df.select("*", F.inline(F.array(F.struct(*columns))))
+    for column in columns:
+        df = df.select("*", F.inline(F.array(F.struct(column))))
+    return df
 
 
 @dataclass(frozen=True)
@@ -61,8 +64,10 @@ class Field:
 
     def number(self) -> Column:
         value = self.text()
-        return F.when(value.isin("true", "false"), F.when(self.kind() == "BOOLEAN", (value == "true").cast("double"))).otherwise(
-            clean.double_or_null(value)
+        return (
+            F.when(value.rlike(r"^-?[0-9]+(\.[0-9]+)?$"), value.try_cast("double"))
+            .when(value.isin("true", "false"), F.when(self.kind() == "BOOLEAN", (value == "true").cast("double")))
+            .otherwise(clean.double_or_null(value))
         )
 
     def whole(self) -> Column:
@@ -95,11 +100,3 @@ def unpack(df: DataFrame, rec: str, fields: dict[str, list[str]]) -> tuple[DataF
     whole = F.try_variant_get(rec, "$", "string")
     return df.select("*", F.json_tuple(whole, *spellings).alias(*aliases)), made
 
-
-def first_truthy(fields: list[Field], read) -> Column:
-    """``read`` of the first truthy field of a chain, the last one taken as it is."""
-    *head, last = fields
-    out = read(last)
-    for field in reversed(head):
-        out = F.when(field.truthy(), read(field)).otherwise(out)
-    return out

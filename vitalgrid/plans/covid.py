@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitalgrid.functions import clean
+from vitalgrid.functions.fields import once
 from vitalgrid.operators.pick import latest_per_key
 from vitalgrid.refdata import COVID_AGGREGATE_PREFIX, COVID_METRICS
 
@@ -18,19 +19,18 @@ def daily_rows(
 
     Codes of country groups, bad dates and rows without any metric drop out.
     """
-    iso3 = clean.code("iso_code")
-    kept = raw.select(
-        iso3.alias("iso3"),
-        clean.date_or_null("date").alias("date"),
-        *[clean.double_or_null(m).alias(m) for m in metrics],
+    text = raw.select(
+        F.col("iso_code").alias("_code"), F.col("date").alias("_date"),
+        *[F.col(m).alias(f"_{m}") for m in metrics],
         *order,
     )
-    return kept.where(
+    coded = once(text, clean.code("_code").alias("iso3"), clean.date_or_null("_date").alias("date")).where(
         ~clean.is_aggregate_code("iso3", COVID_AGGREGATE_PREFIX)
         & clean.allowed("iso3", list(countries))
         & F.col("date").isNotNull()
-        & clean.any_present(metrics)
     )
+    typed = once(coded, *[clean.double_or_null(f"_{m}").alias(m) for m in metrics])
+    return typed.where(clean.any_present(metrics)).select("iso3", "date", *metrics, *order)
 
 
 def country_latest(daily: DataFrame, now: Column) -> DataFrame:

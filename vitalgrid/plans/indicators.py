@@ -42,19 +42,25 @@ def who_rows(
     records = payloads.odata_records(_requested(pages, list(countries), names), REQUEST)
     wanted = ["TimeDim", "TimeDimensionValue", "NumericValue", "Value", "Low", "High", "Dim1", "Dim1Type", "Dim2", "Dim2Type"]
     texts, f = fields.unpack(records, "rec", {n: [n] for n in wanted})
-    number, whole = fields.Field.number, fields.Field.whole
 
     def label(first: str, second: str) -> Column:
         return F.when(f[first].truthy(), f[first].text()).when(f[second].truthy(), f[second].text())
 
-    typed = fields.once(
+    chosen = fields.once(
         texts,
-        fields.first_truthy([f["TimeDim"], f["TimeDimensionValue"]], whole).alias("year"),
-        fields.first_truthy([f["NumericValue"], f["Value"]], number).alias("numeric_value"),
+        f["TimeDim"].truthy().alias("_dim_year"),
+        f["NumericValue"].truthy().alias("_numeric"),
+        label("Dim1", "Dim1Type").alias("_sex"),
+        label("Dim2", "Dim2Type").alias("_age"),
+    )
+    typed = fields.once(
+        chosen,
+        F.when(F.col("_dim_year"), f["TimeDim"].whole()).otherwise(f["TimeDimensionValue"].whole()).alias("year"),
+        F.when(F.col("_numeric"), f["NumericValue"].number()).otherwise(f["Value"].number()).alias("numeric_value"),
         f["Low"].number().alias("low_value"),
         f["High"].number().alias("high_value"),
-        F.upper(clean.label_or(label("Dim1", "Dim1Type"), "BTSX")).alias("sex"),
-        clean.label_or(label("Dim2", "Dim2Type"), "TOTAL").alias("age_group"),
+        F.upper(clean.label_or("_sex", "BTSX")).alias("sex"),
+        clean.label_or("_age", "TOTAL").alias("age_group"),
     ).select(*REQUEST, "year", "numeric_value", "low_value", "high_value", "sex", "age_group", *ORDER)
     kept = typed.where(
         F.col("year").isNotNull() & F.col("numeric_value").isNotNull() & clean.in_years("year", years)

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vitalgrid.functions.fields import once
 from vitalgrid.functions.flights import window_date
 from vitalgrid.refdata import ENVELOPE_NAMES, MAX_ATTEMPTS
 
@@ -59,9 +60,9 @@ def paged_pair_records(pages: DataFrame, keys: list[str]) -> DataFrame:
     )
     # Page and reason as one number, so the first end of a request is a plain
     # minimum with a map-side part.
+    parsed = once(pages.select(*keys, "page", "status", "body"), F.try_parse_json("body").alias("_doc"))
     ends = (
-        pages.select(*keys, "page", "status", F.try_parse_json("body").alias("_doc"))
-        .select(*keys, (F.col("page").cast("bigint") * 3 + end).alias("_end"))
+        once(parsed, (F.col("page").cast("bigint") * 3 + end).alias("_end"))
         .where(F.col("_end").isNotNull())
         .groupBy(*keys)
         .agg(F.min("_end").alias("_end"))

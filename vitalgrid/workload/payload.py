@@ -71,7 +71,7 @@ def worldbank_series(spark: SparkSession, sf: str) -> DataFrame:
     records = F.concat(
         F.lit('[{"date":"'), year, F.lit('","value":'), quantity,
         F.lit('},{"date":"'), year, F.lit('.0","value":1},{"date":'), year,
-        F.lit(',"value":0},{"date":"1999","value":null},"junk"]'),
+        F.lit(',"value":0},{"date":"1999","value":null}'), F.when(percent == 3, ',"junk"]').otherwise("]"),
     )
     announced = F.when(percent == 2, F.col("l_linenumber").cast("string")).otherwise("9")
     body = (

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalgrid.functions import ages
+from vitalgrid.functions.fields import once
 from vitalgrid.operators import agebands, fertility, metrics, pick, resolve
 from vitalgrid.workload import table
 
@@ -55,9 +56,12 @@ def _labelled_parts(spark: SparkSession, sf: str) -> DataFrame:
     )
     start = F.when(kind.isin("SMALL", "MEDIUM"), size)
     end = F.when(kind == "SMALL", size + 4)
-    return table(spark, sf, "part").withColumn(
-        "bin", ages.parse_bin(start.isNotNull(), start, end.isNotNull(), end, label)
+    parts = once(
+        table(spark, sf, "part"),
+        label.alias("label"), start.alias("start"), end.alias("end"),
     )
+    start, end = F.col("start"), F.col("end")
+    return once(parts, ages.parse_bin(start.isNotNull(), start, end.isNotNull(), end, F.col("label")).alias("bin"))
 
 
 def age_bin_parse(spark: SparkSession, sf: str) -> DataFrame:
