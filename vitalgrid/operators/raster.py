@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitalgrid.refdata import NODATA
-from vitalgrid.session import checkpoint_dir
+from vitalgrid.session import materialise
 from vitalgrid.sources.tiles import cells
 
 TILE_KEY = ["raster_id", "tile_row", "tile_col"]
@@ -182,7 +182,7 @@ def overviews(
     """Valid cells (raster_id, level, row, col, value) of every overview level.
 
     Levels inside a tile need no shuffle. Deeper ones work on what is left, at
-    most one cell per tile; each is checkpointed before the next builds on it.
+    most one cell per tile; each is written out before the next builds on it.
     """
     inner = min(levels, levels_in_tile(tile_height, tile_width))
     if inner == 0:
@@ -201,11 +201,10 @@ def overviews(
     )
     if levels == inner:
         return out
-    checkpoint_dir(tiles.sparkSession)
-    out = out.checkpoint()
+    out, _ = materialise(out)
     below = out.where(F.col("level") == inner).drop("level")
     for n in range(inner + 1, levels + 1):
-        below = overview_cells(below).checkpoint()
+        below, _ = materialise(overview_cells(below))
         out = out.unionByName(below.withColumn("level", F.lit(n)).select(*out.columns))
     return out
 

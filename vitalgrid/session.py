@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 REQUIRED = {
     # Dates and epoch seconds are read in UTC.
@@ -64,3 +65,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-", dir="/tmp")
     context.setCheckpointDir(folder)
     return folder
+
+
+def materialise(df: DataFrame) -> tuple[DataFrame, str]:
+    """The rows written once to the checkpoint folder and read back, and where.
+
+    Cuts the lineage like a checkpoint, survives lost executors the same way,
+    but computes the rows a single time and keeps them columnar.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/rows_{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path

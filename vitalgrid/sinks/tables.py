@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalgrid.operators import merge
 from vitalgrid.schemas import Table
-from vitalgrid.session import checkpoint_dir
+from vitalgrid.session import materialise
 from vitalgrid.sinks import fs
 from vitalgrid.sources import tables
 
@@ -65,11 +68,15 @@ def _stored(spark: SparkSession, table: Table, path: str) -> DataFrame:
     return tables.read(spark, table, path) if fs.exists(spark, path) else tables.empty(spark, table)
 
 
-def _materialised(df: DataFrame) -> DataFrame:
-    """Fix the incoming rows: they are used more than once, and a load must not
-    see two versions of them."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+@contextmanager
+def _fixed(df: DataFrame) -> Iterator[DataFrame]:
+    """The incoming rows, fixed for the time of a load: they are used more than
+    once, and a load must not see two versions of them."""
+    rows, path = materialise(df)
+    try:
+        yield rows
+    finally:
+        fs.remove(df.sparkSession, path)
 
 
 def upsert(
@@ -81,21 +88,20 @@ def upsert(
     rewritten only where rows arrive.
     """
     spark = incoming.sparkSession
-    rows = merge.last_write_wins(incoming, table.keys, order) if order else incoming
-    rows = _materialised(rows)
-    stored = _stored(spark, table, path)
     parts = table.partition_by
-    if parts:
-        stored = touched(stored, rows, parts)
-    merged = merge.upsert(
-        stored, rows, table.keys,
-        [c for c in table.update_cols if c in rows.columns],
-        table.default_columns(now),
-    )
-    if parts:
-        replace_partitions(merged, path, parts)
-    else:
-        replace(merged, path)
+    with _fixed(merge.last_write_wins(incoming, table.keys, order) if order else incoming) as rows:
+        stored = _stored(spark, table, path)
+        if parts:
+            stored = touched(stored, rows, parts)
+        merged = merge.upsert(
+            stored, rows, table.keys,
+            [c for c in table.update_cols if c in rows.columns],
+            table.default_columns(now),
+        )
+        if parts:
+            replace_partitions(merged, path, parts)
+        else:
+            replace(merged, path)
 
 
 def replace_slices(table: Table, path: str, rows: DataFrame, slice_keys: list[str], now: Column) -> None:
@@ -104,15 +110,15 @@ def replace_slices(table: Table, path: str, rows: DataFrame, slice_keys: list[st
     for name, default in table.default_columns(now).items():
         if name not in rows.columns:
             rows = rows.withColumn(name, default)
-    rows = _materialised(merge.evolve(rows, table.schema))
-    stored = _stored(spark, table, path)
-    replace(merge.replace_slices(stored, rows, slice_keys), path, table.partition_by)
+    with _fixed(merge.evolve(rows, table.schema)) as new:
+        stored = _stored(spark, table, path)
+        replace(merge.replace_slices(stored, new, slice_keys), path, table.partition_by)
 
 
 def insert_if_absent(table: Table, path: str, rows: DataFrame, order: list[str] | None = None) -> None:
-    spark = rows.sparkSession
-    rows = _materialised(rows)
-    replace(merge.insert_if_absent(_stored(spark, table, path), rows, table.keys, order), path)
+    """Append the rows whose key is not stored yet."""
+    stored = _stored(rows.sparkSession, table, path)
+    replace(merge.insert_if_absent(stored, rows, table.keys, order), path)
 
 
 def migrate(spark: SparkSession, table: Table, path: str, fill: dict[str, object]) -> None:
