@@ -189,7 +189,8 @@ rows AS (
          CASE e.event_type WHEN 'view' THEN 'YEARS15-49' ELSE 'TOTAL' END AS age_group
   FROM e JOIN named USING (event_type)
   WHERE (user_id, e.event_type) NOT IN (SELECT (user_id, event_type) FROM events WHERE value > 300)
-    AND (k < 5 OR k BETWEEN 10 AND 14 OR k >= 20) AND day(ts) <= 26
+    -- A number of zero falls back to the text value, which is junk from k = 20 on.
+    AND (k < 5 OR k BETWEEN 10 AND 14 OR (k >= 20 AND value <> 0)) AND day(ts) <= 26
 )
 SELECT DISTINCT ON (iso3, indicator_code, year, sex, age_group)
        iso3, indicator_code, year, sex, age_group, numeric_value, low_value, high_value, indicator_name
