@@ -203,7 +203,7 @@ SELECT event_id,
        CASE event_type WHEN 'click' THEN strftime(ts, '%Y-%m-%d')
             WHEN 'view' THEN strftime(TRY_CAST('2024-02-' || lpad(k, 2, '0') AS DATE), '%Y-%m-%d')
             WHEN 'signup' THEN CASE WHEN month(ts) >= 10 AND day(ts) >= 10 THEN strftime(ts, '%Y-%m-%d') END END AS day,
-       CASE WHEN k = '7' OR CAST(k AS INTEGER) % 2 = 0 THEN -1.0 ELSE value END AS or_number,
+       CASE WHEN k = '7' OR CAST(k AS INTEGER) % 2 = 0 OR value = 0 THEN -1.0 ELSE value END AS or_number,
        CASE WHEN event_type = 'click' THEN k ELSE event_type END AS or_text,
        CASE WHEN event_type = 'click' THEN 0 ELSE CAST(k AS INTEGER) END AS first_present
 FROM e""",
