@@ -2,8 +2,10 @@ import pytest
 
 import check
 from __spark_entry__ import entry, oracle_sql, queries
+from vitalgrid.workload import all_queries
 
 FOLDER = "/root/testdata/sf0.001"
+TABLE_QUERIES = {name: query for name, query in queries().items() if name in all_queries()}
 
 
 @pytest.fixture(scope="module")
@@ -11,7 +13,7 @@ def con():
     return check.duck(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(TABLE_QUERIES))
 def test_query_equals_its_sql(spark, con, name):
     ok, message = check.compare(spark, con, FOLDER, name, queries()[name], oracle_sql()[name])
     assert ok, message
@@ -22,7 +24,7 @@ def test_entry(spark):
 
 
 def test_no_cross_join_and_no_python_in_any_plan(spark):
-    for name, query in queries().items():
+    for name, query in TABLE_QUERIES.items():
         plan = query(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
         for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython", "SinglePartition, ENSURE"):
             if bad.startswith("SinglePartition") and name == "load_metrics":
