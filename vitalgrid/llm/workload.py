@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from vitalgrid.llm import mixing
+from vitalgrid.llm import bpe, mixing, simhash
 
-MODULES = (mixing,)
+MODULES = (mixing, bpe, simhash)
 
 
 def all_queries() -> dict:
