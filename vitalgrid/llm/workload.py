@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from vitalgrid.llm import bpe, mixing, simhash
+from vitalgrid.llm import bpe, exact, mixing, quality, simhash
 
-MODULES = (mixing, bpe, simhash)
+MODULES = (mixing, bpe, simhash, exact, quality)
 
 
 def all_queries() -> dict:
