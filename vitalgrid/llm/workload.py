@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from vitalgrid.llm import bpe, exact, mixing, quality, simhash
+from vitalgrid.llm import bpe, exact, mixing, quality, rules, simhash, toxicity, wordpiece
 
-MODULES = (mixing, bpe, simhash, exact, quality)
+MODULES = (wordpiece, mixing, bpe, simhash, toxicity, exact, quality, rules)
 
 
 def all_queries() -> dict:
