@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from vitalgrid.llm import bpe, exact, mixing, quality, rules, simhash, toxicity, wordpiece
+from vitalgrid.llm import bpe, exact, licenses, mixing, quality, rules, simhash, toxicity, warc, wordpiece
 
-MODULES = (wordpiece, mixing, bpe, simhash, toxicity, exact, quality, rules)
+MODULES = (wordpiece, mixing, bpe, simhash, toxicity, exact, quality, warc, rules, licenses)
 
 
 def all_queries() -> dict:
