@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from vitalgrid.llm.common import table, whole
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-REMEMBERED = 200_000  # distinct words a task keeps; beyond that it starts anew
+REMEMBERED = 400_000  # distinct words a task keeps; beyond that it starts anew
 LONGEST_REMEMBERED = 256  # characters; longer words are folded each time
 
 
@@ -52,13 +52,16 @@ def fold(word: bytes, ranks: dict[bytes, int]) -> list[int]:
         return [ranks[word]]
     n = len(word)
     if n < 48:
-        pieces = [word[i : i + 1] for i in range(n)]
-        while len(pieces) > 1:
-            best = min((ranks.get(a + b, _NONE), i) for i, (a, b) in enumerate(zip(pieces, pieces[1:])))
-            if best[0] is _NONE:
-                break
-            i = best[1]
-            pieces[i : i + 2] = [pieces[i] + pieces[i + 1]]
+        get, pieces = ranks.get, [word[i : i + 1] for i in range(n)]
+        pairs = [get(word[i : i + 2], _NONE) for i in range(n - 1)]
+        while pairs and (best := min(pairs)) is not _NONE:
+            i = pairs.index(best)
+            pieces[i] += pieces.pop(i + 1)
+            pairs.pop(i)
+            if i:
+                pairs[i - 1] = get(pieces[i - 1] + pieces[i], _NONE)
+            if i < len(pairs):
+                pairs[i] = get(pieces[i] + pieces[i + 1], _NONE)
         return [ranks[p] for p in pieces]
     end = list(range(1, n + 1))  # end of the piece that starts at i; 0: none starts there
     before = list(range(-1, n - 1))
