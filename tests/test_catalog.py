@@ -64,6 +64,9 @@ def test_store_replaces_older_entries(spark):
         ("cog", "a.tif", "r0", "z", 1, "t"),
         ("raw", "a.tif", "r1", hashlib.sha256(b"abc").hexdigest(), 3, "image/tiff"),
     ]
+    twice = spark.createDataFrame([("/in/a.tif", 3, bytearray(b"abc"), 1), ("/in/a.tif", 2, bytearray(b"de"), 2)], "path string, length bigint, content binary, o int")
+    again = rasters.store(old, twice, "raw", "r2", order=["o"])
+    assert [(r.id > 3, r.size_bytes) for r in catalog.newest(again).where("stage = 'raw'").collect()] == [(True, 2)]
     assert rows(catalog.newest(old), "stage", "id") == [("cog", 3), ("raw", 2)]
 
 

@@ -3,6 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from conftest import rows
+from vitalgrid import refdata
 from vitalgrid.functions import ages
 from vitalgrid.operators import agebands, fertility
 from vitalgrid.plans import demography
@@ -75,7 +76,7 @@ def test_bin_summary(spark):
 
 
 def test_rebin(spark):
-    codes = ages.raster_age_codes()
+    codes = refdata.RASTER_AGE_CODES
     assert len(codes) == 20 and codes[:3] == ["00", "01", "05"] and codes[-2:] == ["85", "90"]
     data = [("A", c, float(2**i)) for i, c in enumerate(codes)] + [("B", c, 1.0) for c in codes if c not in ("85", "10")]
     df = spark.createDataFrame(data, "iso3 string, age_code string, total double")
@@ -85,4 +86,4 @@ def test_rebin(spark):
     assert sum(v for (k, _), v in got.items() if k == "A") == float(2**20 - 1)
     assert got["B", "10-14"] == 0.0 and got["B", "80+"] == 2.0
     order = [r.age_bin for r in agebands.rebin(df, ["iso3"]).where("iso3 = 'A'").orderBy(ages.bin_order(F.col("age_bin"))).collect()]
-    assert order == list(ages.five_year_bins())
+    assert order == list(refdata.AGE_BINS)

@@ -128,7 +128,7 @@ def test_arrivals_and_outcomes(spark):
         "airport string, begin bigint, end bigint, attempt int, status int, body string",
     )
     assert rows(payloads.fetch_outcomes(log), "airport", "answered_at", "unreachable") == [
-        ("LFBO", None, True), ("LFML", 1, False), ("LFPG", 2, False), ("LFPO", 1, False),
+        ("LFBO", 5, False), ("LFML", 1, False), ("LFPG", 2, False), ("LFPO", 1, False),
     ]
     got = payloads.arrivals(log).select("airport", F.col("date").cast("string"), "estDepartureAirport")
-    assert rows(got) == [("LFPG", "2022-01-08", "EDDF")]
+    assert rows(got) == [("LFBO", "2022-01-08", "EDDF"), ("LFPG", "2022-01-08", "EDDF")]

@@ -1,3 +1,4 @@
+import pytest
 import datetime as dt
 import glob
 import os
@@ -37,13 +38,15 @@ def test_upsert_partitioned_table(spark, tmp_path):
         ("A", 2000, 8.0, "n2", "WORLDBANK", old), ("A", 2001, 2.0, "n", "WORLDBANK", old),
         ("B", 2000, 5.0, "n", "WORLDBANK", old), ("C", 2002, 3.0, "n", "WORLDBANK", new),
     ]
-    tables.MAX_NAMED, saved = 0, tables.MAX_NAMED
-    try:
-        tables.upsert(schemas.WORLDBANK, path, wb(spark, [("A", "i", "n3", 2000, 7.0, 0)]), t1(), ["_o"])
-    finally:
-        tables.MAX_NAMED = saved
-    after = rows(source.read(spark, schemas.WORLDBANK, path), "iso3", "year", "value")
-    assert after == [("A", 2000, 7.0), ("A", 2001, 2.0), ("B", 2000, 5.0), ("C", 2002, 3.0)]
+    assert rewrite.recompress(spark, path, "snappy")[0] == "ok" and fs.partition_columns(spark, path) == ["year"]
+    assert rewrite.recompress(spark, path, "snappy")[0] == "skip"
+    tables.upsert(schemas.WORLDBANK, path, wb(spark, [("A", "i", "n3", 2000, 7.0, 0)]), t1(), ["_o"])
+    fresh = wb(spark, [("A", "i", "n4", 2000, 1.0, 0), ("D", "i", "n", 2003, 4.0, 0)])
+    before = {os.path.basename(f) for f in glob.glob(path + "/year=2001/*.parquet")}
+    tables.insert_if_absent(schemas.WORLDBANK, path, fresh, ["_o"], t1())
+    assert {os.path.basename(f) for f in glob.glob(path + "/year=2001/*.parquet")} == before
+    after = rows(source.read(spark, schemas.WORLDBANK, path), "iso3", "year", "value", "source")
+    assert after == [(c, y, v, "WORLDBANK") for c, y, v in (("A", 2000, 7.0), ("A", 2001, 2.0), ("B", 2000, 5.0), ("C", 2002, 3.0), ("D", 2003, 4.0))]
 
 
 def test_covid_csv_to_latest(spark, tmp_path):
@@ -197,11 +200,13 @@ def test_checkpoint_dir_is_taken_from_the_session():
 
     from vitalgrid.session import checkpoint_dir
 
-    def session(named, current=None):
+    def session(named, current=None, master="local[2]"):
         state = {"dir": current}
-        context = SimpleNamespace(getCheckpointDir=lambda: state["dir"], setCheckpointDir=lambda d: state.update(dir=d))
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: state["dir"], setCheckpointDir=lambda d: state.update(dir=d))
         return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: named or default))
 
     assert checkpoint_dir(session("hdfs://shared/cp")) == "hdfs://shared/cp"
     assert checkpoint_dir(session("hdfs://shared/cp", "hdfs://set")) == "hdfs://set"
     assert checkpoint_dir(session(None)).startswith("/tmp/run-")
+    with pytest.raises(ValueError):
+        checkpoint_dir(session(None, master="spark://host:7077"))

@@ -1,4 +1,4 @@
-"""Age bins: parsing, the fertile window, raster age codes and five-year bins."""
+"""Age bins: parsing and the fertile window."""
 
 from __future__ import annotations
 
@@ -13,15 +13,12 @@ from vitalgrid.refdata import (
     FERTILE_AGES,
 )
 
-# "40-44", with a hyphen or an en dash.
-AGE_LABEL = r"^\s*([0-9]+)\s*[-–]\s*([0-9]+)\s*$"
-
-
 def bin_from_label(label: Column) -> Column:
-    """struct(age_min, age_max) of a label, NULL where it is not a range."""
-    low = F.regexp_extract(label, AGE_LABEL, 1).try_cast("int")
-    high = F.regexp_extract(label, AGE_LABEL, 2).try_cast("int")
-    return F.when(label.rlike(AGE_LABEL), F.struct(low.alias("age_min"), high.alias("age_max")))
+    """struct(age_min, age_max) of a label such as 40-44 (hyphen or en dash), NULL where it is not a range."""
+    ends = F.split(F.translate(label, "–", "-"), "-")
+    whole = lambda i: F.when(F.trim(F.get(ends, i)).rlike(r"^\d+$"), F.trim(F.get(ends, i)).try_cast("int"))
+    digits = F.size(F.filter(ends, lambda x: F.regexp_replace(x, r"\s", "").rlike(r"^[0-9]+$"))) == 2
+    return F.when((F.size(ends) == 2) & digits, F.struct(whole(F.lit(0)).alias("age_min"), whole(F.lit(1)).alias("age_max")))
 
 
 def parse_bin(has_start: Column, start: Column, has_end: Column, end: Column, label: Column) -> Column:
@@ -55,20 +52,6 @@ def fertile(age_min: Column, age_max: Column) -> Column:
     return (age_min >= low) & (age_max <= high)
 
 
-def raster_age_codes() -> list[str]:
-    """00 (first year), 01 (1 to 4), five-year codes up to 85, and 90 and over."""
-    return ["00", "01"] + [f"{a:02d}" for a in range(5, 90, 5)] + ["90"]
-
-
-def five_year_bins() -> dict[str, list[str]]:
-    """The 17 output bins in order, each with the raster age codes it sums."""
-    bins = {"0-4": ["00", "01"]}
-    for start in range(5, 80, 5):
-        bins[f"{start}-{start + 4}"] = [f"{start:02d}"]
-    bins["80+"] = ["80", "85", "90"]
-    return bins
-
-
 def bin_order(age_bin: Column) -> Column:
     """Position of a bin, for output in bin order."""
     return clean.int_or_null(F.regexp_extract(age_bin, r"^([0-9]+)", 1))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.functions import ages
+from vitalgrid import refdata
 
 
 def rebin(totals: DataFrame, keys: list[str], code: str = "age_code", total: str = "total") -> DataFrame:
@@ -14,7 +14,7 @@ def rebin(totals: DataFrame, keys: list[str], code: str = "age_code", total: str
     A missing code counts 0.0. The bins are 17 conditional sums, so one
     aggregation gives the complete list without joining a bin table.
     """
-    bins = ages.five_year_bins()
+    bins = refdata.AGE_BINS
     sums = [
         F.coalesce(F.sum(F.when(F.col(code).isin(codes), F.col(total))), F.lit(0.0)).alias(f"b{i}")
         for i, codes in enumerate(bins.values())

@@ -67,8 +67,12 @@ def insert_if_absent(
     stored: DataFrame, incoming: DataFrame, keys: list[str], order: list[str] | None = None
 ) -> DataFrame:
     """Append only rows whose key is not stored; the first of a key wins."""
-    fresh = _unique(incoming, keys, order, first=True).join(stored.select(*keys), keys, "left_anti")
-    return stored.unionByName(fresh.select(*stored.columns))
+    return stored.unionByName(absent(stored, incoming, keys, order).select(*stored.columns))
+
+
+def absent(stored: DataFrame, incoming: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """The incoming rows whose key is not stored, the first of each key."""
+    return _unique(incoming, keys, order, first=True).join(stored.select(*keys), keys, "left_anti")
 
 
 def replace_slices(stored: DataFrame, new: DataFrame, slice_keys: list[str]) -> DataFrame:

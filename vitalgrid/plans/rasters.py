@@ -2,18 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vitalgrid.functions import files
 from vitalgrid.operators import catalog as cat
-from vitalgrid.operators import merge, raster
+from vitalgrid.operators import merge, pick, raster
 from vitalgrid.refdata import NODATA
 from vitalgrid.sources.tiles import band
 
 
-def store(catalog: DataFrame, found: DataFrame, stage: str, run_id: str) -> DataFrame:
-    """The catalog after storing files: a file replaces its older entries."""
-    new = cat.entries(found, stage, run_id)
+def store(
+    catalog: DataFrame, found: DataFrame, stage: str, run_id: str, now: Column | None = None, order: list[str] | None = None
+) -> DataFrame:
+    """The catalog after storing files: a file replaces its older entries.
+
+    Of several files of one name the last by ``order`` stays. New rows get ids
+    above the stored ones and ``created_at``, where the catalog has it.
+    """
+    found = found.withColumn("_name", files.base_name(F.col("path")))
+    new = cat.entries(pick.last_write_wins(found, ["_name"], order) if order else found, stage, run_id)
+    if "id" in catalog.columns:
+        top = catalog.agg(F.max("id")).first()[0] or 0
+        new = new.withColumn("id", F.monotonically_increasing_id() + (top + 1))
+    if "created_at" in catalog.columns:
+        new = new.withColumn("created_at", F.current_timestamp() if now is None else now)
     return merge.replace_slices(catalog, new, ["stage", "filename"])
 
 

@@ -7,22 +7,21 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-REQUIRED = {
-    # Dates and epoch seconds are read in UTC.
-    "spark.sql.session.timeZone": "UTC",
-    # The JVM never compiles a method above 8000 bytes of bytecode, so a fused
-    # stage beyond that runs interpreted; split projections are faster then.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
-    # Split a hot key of a join even where its output feeds a grouping on the
-    # same key and the split costs one more shuffle.
-    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-}
+# Dates and epoch seconds are read in UTC.
+REQUIRED = {"spark.sql.session.timeZone": "UTC"}
 
-# Left to the cluster unless unset. Skew join and partition coalescing need AQE.
+# Set for a session made here; in any other they are the cluster's choice.
 DEFAULTS = {
+    # Skew join and partition coalescing need AQE.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Split a hot key of a join even where its output feeds a grouping on the
+    # same key and the split costs one more shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM never compiles a method above 8000 bytes of bytecode, so a fused
+    # stage beyond that runs interpreted; split projections are faster then.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.parquet.compression.codec": "zstd",
     # Call-site capture costs a stack walk per Column call and changes no result.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -56,13 +55,17 @@ def local_session(cpus: int = 8, shuffle_partitions: int | None = None) -> Spark
 def checkpoint_dir(spark: SparkSession) -> str:
     """Make sure the session has a checkpoint folder, and return it.
 
-    A cluster names a shared one in ``spark.checkpoint.dir``; only where that is
-    unset (a local test) is a folder on this machine used.
+    A cluster must name a shared one in ``spark.checkpoint.dir``; only a session in
+    one process, as in tests, falls back to a folder on this machine.
     """
     context = spark.sparkContext
     if context.getCheckpointDir():
         return context.getCheckpointDir()
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not context.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     context.setCheckpointDir(folder)
     return folder
 

@@ -35,10 +35,18 @@ def rename(spark: SparkSession, src: str, dst: str) -> None:
 
 
 def data_files(spark: SparkSession, path: str) -> list[str]:
-    """Names of the data files directly in a dataset folder."""
+    """Data files of a dataset, in its partition folders too, as paths below it."""
     fs, p = _handle(spark, path)
-    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isFile()]
-    return sorted(n for n in names if not n.startswith(("_", ".")))
+    top, found, listed = fs.makeQualified(p).toString().rstrip("/"), [], fs.listFiles(p, True)
+    while listed.hasNext():
+        found.append(listed.next().getPath().toString()[len(top) + 1 :])
+    return sorted(f for f in found if not any(x.startswith(("_", ".")) for x in f.split("/")))
+
+
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Columns that a dataset is partitioned by, from its folder names."""
+    files = data_files(spark, path)
+    return [x.split("=", 1)[0] for x in files[0].split("/")[:-1] if "=" in x] if files else []
 
 
 def staging_path(path: str) -> str:

@@ -32,11 +32,13 @@ def recompress(spark: SparkSession, path: str, codec: str = "zstd", dry_run: boo
     try:
         original = spark.read.parquet(path)
         try:
-            original.write.option("compression", codec).parquet(staged)
+            parts = fs.partition_columns(spark, path)
+            writer = (original.hint("rebalance", *parts) if parts else original).write.option("compression", codec)
+            writer.partitionBy(*parts).parquet(staged)
         except Exception:
             return "FAILED", before, before
         after = fs.size(spark, staged)
-        if _digest(original) != _digest(spark.read.parquet(staged)):
+        if _digest(original) != _digest(spark.read.schema(original.schema).parquet(staged)):
             return "CORRUPT", before, before
         if dry_run:
             return "would-shrink", before, after

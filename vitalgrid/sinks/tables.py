@@ -14,10 +14,6 @@ from vitalgrid.session import materialise
 from vitalgrid.sinks import fs
 from vitalgrid.sources import tables
 
-# Up to so many touched partitions are named in the read filter; beyond it they
-# are matched by a join.
-MAX_NAMED = 2000
-
 
 def replace(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Write to a sibling, then swap: readers see the old or the new table whole."""
@@ -46,21 +42,11 @@ def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> Non
 
 
 def touched(stored: DataFrame, incoming: DataFrame, columns: list[str]) -> DataFrame:
-    """Stored rows in partitions the incoming rows fall into."""
-    parts = incoming.select(*columns).distinct()
-    named = parts.limit(MAX_NAMED + 1).collect()
-    if len(named) > MAX_NAMED:
-        return stored.join(parts, columns, "left_semi")
-    keep = F.lit(False)
-    if len(columns) == 1:
-        keep = F.col(columns[0]).isin([r[0] for r in named])
-    else:
-        for r in named:
-            one = F.lit(True)
-            for c in columns:
-                one = one & (F.col(c) == F.lit(r[c]))
-            keep = keep | one
-    return stored.where(keep)
+    """Stored rows in partitions the incoming rows fall into.
+
+    The scan is pruned at run time by the incoming partition values.
+    """
+    return stored.join(incoming.select(*columns).distinct(), columns, "left_semi")
 
 
 def _stored(spark: SparkSession, table: Table, path: str) -> DataFrame:
@@ -115,10 +101,17 @@ def replace_slices(table: Table, path: str, rows: DataFrame, slice_keys: list[st
         replace(merge.replace_slices(stored, new, slice_keys), path, table.partition_by)
 
 
-def insert_if_absent(table: Table, path: str, rows: DataFrame, order: list[str] | None = None) -> None:
-    """Append the rows whose key is not stored yet."""
+def insert_if_absent(table: Table, path: str, rows: DataFrame, order: list[str] | None = None, now: Column | None = None) -> None:
+    """Append the rows whose key is not stored yet, in the table's layout, defaults filled."""
     stored = _stored(rows.sparkSession, table, path)
-    replace(merge.insert_if_absent(stored, rows, table.keys, order), path)
+    fresh = merge.absent(stored, rows, table.keys, order)
+    for name, default in table.default_columns(F.current_timestamp() if now is None else now).items():
+        fresh = fresh.withColumn(name, F.coalesce(F.col(name), default) if name in fresh.columns else default)
+    fresh = merge.evolve(fresh, table.schema)
+    if table.partition_by:
+        fresh.hint("rebalance", *table.partition_by).write.mode("append").partitionBy(*table.partition_by).parquet(path)
+    else:
+        fresh.write.mode("append").parquet(path)
 
 
 def migrate(spark: SparkSession, table: Table, path: str, fill: dict[str, object]) -> None:

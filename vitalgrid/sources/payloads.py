@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from vitalgrid.functions.fields import once
 from vitalgrid.functions.flights import window_date
-from vitalgrid.refdata import ENVELOPE_NAMES, MAX_ATTEMPTS
+from vitalgrid.refdata import ENVELOPE_NAMES
 
 RECORDS = "array<variant>"
 
@@ -105,7 +105,7 @@ def fetch_outcomes(log: DataFrame) -> DataFrame:
     200 and 404 are answers. A request without one is unreachable, which is
     not the same as no flights.
     """
-    answered = F.col("status").isin(200, 404) & (F.col("attempt") <= MAX_ATTEMPTS)
+    answered = F.col("status").isin(200, 404)
     return (
         log.groupBy("airport", "begin", "end")
         .agg(F.min(F.when(answered, F.col("attempt"))).alias("answered_at"))
@@ -125,7 +125,7 @@ def arrivals(log: DataFrame) -> DataFrame:
     """
     request = ["airport", "begin", "end"]
     extra = [c for c in log.columns if c not in (*request, "attempt", "status", "body")]
-    answers = log.where(F.col("status").isin(200, 404) & (F.col("attempt") <= MAX_ATTEMPTS))
+    answers = log.where(F.col("status").isin(200, 404))
     first = answers.groupBy(*request).agg(F.min("attempt").alias("attempt"))
     some = F.col("body").isNotNull() & (F.trim("body") != "null")
     flights = answers.where((F.col("status") == 200) & some).join(first, [*request, "attempt"], "left_semi")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.functions import ages, files
+from vitalgrid import refdata
+from vitalgrid.functions import files
 from vitalgrid.refdata import RASTER_YEARS
 
 
@@ -27,7 +28,7 @@ def raster_requests(countries: DataFrame, years: tuple[int, int] = RASTER_YEARS)
 
 
 def age_requests(countries: DataFrame, years: tuple[int, int] = RASTER_YEARS) -> DataFrame:
-    codes = F.array(*[F.lit(c) for c in ages.raster_age_codes()])
+    codes = F.array(*[F.lit(c) for c in refdata.RASTER_AGE_CODES])
     expanded = country_years(countries, years).select("iso3", "year", F.explode(codes).alias("age_code"))
     url = files.age_url(F.col("iso3"), F.col("year"), F.col("age_code"))
     return expanded.withColumn("url", url).withColumn("filename", files.base_name(F.col("url")))

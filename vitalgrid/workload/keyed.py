@@ -77,7 +77,7 @@ def _catalog(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select(
         F.col("doc_id").alias("id"),
         F.when(F.col("lang") == "en", "cog").otherwise("raw").alias("stage"),
-        F.concat("source", F.lit("_"), F.substring(F.col("doc_id").cast("string"), -1, 1), F.lit(".tif")).alias("filename"),
+        F.concat("source", F.lit("_"), F.floor(F.col("doc_id") / 50).cast("string"), F.lit(".tif")).alias("filename"),
         F.lit("run0").alias("run_id"),
         F.sha2(F.col("text").cast("binary"), 256).alias("sha256"),
         F.octet_length("text").cast("bigint").alias("size_bytes"),
@@ -87,21 +87,31 @@ def _catalog(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def catalog_replace(spark: SparkSession, sf: str) -> DataFrame:
-    """Files of the toxic documents are stored again and replace what they were."""
+def _stored_again(spark: SparkSession, sf: str) -> DataFrame:
     documents = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
     found = documents.where(F.col("toxic") == 1).select(
-        F.concat(F.lit("/in/"), "source", F.lit("_"), F.substring(F.col("doc_id").cast("string"), -1, 1), F.lit(".tif")).alias("path"),
+        F.concat(F.lit("/in/"), "source", F.lit("_"), F.floor(F.col("doc_id") / 50).cast("string"), F.lit(".tif")).alias("path"),
         F.octet_length("text").cast("bigint").alias("length"),
         F.col("text").cast("binary").alias("content"),
+        "doc_id",
     )
-    stored = rasters.store(_catalog(spark, sf), found, "raw", "run1")
-    return stored.groupBy("stage", "filename", "run_id", "content_type").agg(
-        F.count("*").alias("files"), F.sum("size_bytes").alias("size_bytes"),
-        F.min("sha256").alias("min_sha"), F.max("sha256").alias("max_sha"),
+    return rasters.store(_catalog(spark, sf), found, "raw", "run1", order=["doc_id"])
+
+
+def catalog_replace(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of the toxic documents are stored again and replace what they were; new ids are above all old ones."""
+    stored = _stored_again(spark, sf)
+    top = _catalog(spark, sf).agg(F.max("id")).first()[0] or 0
+    return stored.select(
+        *[c for c in stored.columns if c != "id"], F.when(F.col("id") <= top, F.col("id")).alias("old_id"), (F.col("id") > top).alias("new"),
     )
 
 
+def catalog_store_newest(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest row of each file after storing the toxic documents again."""
+    return catalog.newest(_stored_again(spark, sf)).select("stage", "filename", "run_id", "sha256", "size_bytes")
+
+
 def catalog_newest(spark: SparkSession, sf: str) -> DataFrame:
     return catalog.newest(_catalog(spark, sf)).select("stage", "filename", "id", "sha256", "size_bytes")
 
@@ -167,6 +177,7 @@ QUERIES = {
     "insert_if_absent": insert_if_absent,
     "slice_replace": slice_replace,
     "catalog_replace": catalog_replace,
+    "catalog_store_newest": catalog_store_newest,
     "catalog_newest": catalog_newest,
     "set_totals": set_totals,
     "schema_evolve": schema_evolve,
@@ -177,13 +188,27 @@ QUERIES = {
 _CATALOG = """
 catalog AS (
   SELECT doc_id AS id, CASE WHEN lang = 'en' THEN 'cog' ELSE 'raw' END AS stage,
-         source || '_' || right(CAST(doc_id AS VARCHAR), 1) || '.tif' AS filename,
+         source || '_' || CAST(doc_id // 50 AS VARCHAR) || '.tif' AS filename,
          'run0' AS run_id, sha256(text) AS sha256, CAST(strlen(text) AS BIGINT) AS size_bytes,
-         'image/tiff' AS content_type,
+         'image/tiff' AS content_type, doc_id AS lo_oid,
          CASE WHEN lang <> 'fr' THEN CAST(n_chars AS DOUBLE) END AS exact_total
   FROM documents
 )"""
 
+_STORED = """last AS (
+  SELECT source || '_' || CAST(doc_id // 50 AS VARCHAR) || '.tif' AS filename, max(doc_id) AS doc_id
+  FROM documents JOIN labels USING (doc_id) WHERE toxic = 1 GROUP BY ALL
+),
+found AS (
+  SELECT filename, sha256(text) AS sha256, CAST(strlen(text) AS BIGINT) AS size_bytes FROM last JOIN documents USING (doc_id)
+),
+merged AS (
+  SELECT id, stage, filename, run_id, sha256, size_bytes, content_type, lo_oid, exact_total FROM catalog
+  WHERE stage <> 'raw' OR filename NOT IN (SELECT filename FROM found)
+  UNION ALL
+  SELECT NULL, 'raw', filename, 'run1', sha256, size_bytes, 'image/tiff', NULL, NULL FROM found
+)"""
+
 SQL = {
     "latest_upsert": """
 WITH e AS (
@@ -240,21 +265,14 @@ merged AS (
 )
 SELECT status, year, release, count(*) AS rows, CAST(sum(cents) AS BIGINT) AS cents FROM merged GROUP BY ALL""",
     "catalog_replace": f"""
-WITH {_CATALOG},
-found AS (
-  SELECT 'raw' AS stage, source || '_' || right(CAST(doc_id AS VARCHAR), 1) || '.tif' AS filename,
-         'run1' AS run_id, sha256(text) AS sha256, CAST(strlen(text) AS BIGINT) AS size_bytes,
-         'image/tiff' AS content_type
-  FROM documents JOIN labels USING (doc_id) WHERE toxic = 1
-),
-merged AS (
-  SELECT stage, filename, run_id, sha256, size_bytes, content_type FROM catalog
-  WHERE (stage, filename) NOT IN (SELECT (stage, filename) FROM found)
-  UNION ALL SELECT * FROM found
-)
-SELECT stage, filename, run_id, content_type, count(*) AS files,
-       CAST(sum(size_bytes) AS BIGINT) AS size_bytes, min(sha256) AS min_sha, max(sha256) AS max_sha
-FROM merged GROUP BY ALL""",
+WITH {_CATALOG}, {_STORED}
+SELECT stage, filename, run_id, sha256, size_bytes, content_type, lo_oid, exact_total,
+       CASE WHEN run_id = 'run0' THEN id END AS old_id, run_id = 'run1' AS new
+FROM merged""",
+    "catalog_store_newest": f"""
+WITH {_CATALOG}, {_STORED}
+SELECT stage, filename, run_id, sha256, size_bytes FROM merged m
+WHERE run_id = 'run1' OR id = (SELECT max(id) FROM merged o WHERE o.stage = m.stage AND o.filename = m.filename)""",
     "catalog_newest": f"""
 WITH {_CATALOG}
 SELECT DISTINCT ON (stage, filename) stage, filename, id, sha256, size_bytes

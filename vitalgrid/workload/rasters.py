@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.functions import ages
+from vitalgrid import refdata
 from vitalgrid.operators import raster
 from vitalgrid.plans import demography, rasters
 from vitalgrid.refdata import NODATA
@@ -108,7 +108,7 @@ def zonal_totals(spark: SparkSession, sf: str) -> DataFrame:
 
 def age_pyramid(spark: SparkSession, sf: str) -> DataFrame:
     """Labels as countries, vectors as rasters of the twenty age codes in turn."""
-    codes = F.array(*[F.lit(c) for c in ages.raster_age_codes()])
+    codes = F.array(*[F.lit(c) for c in refdata.RASTER_AGE_CODES])
     tiles = _tiles(spark, sf).select(
         F.concat(F.lit("L"), "label").alias("iso3"), F.lit(2020).alias("year"),
         F.get(codes, (F.col("vec_id") % 20).cast("int")).alias("age_code"), "values",
