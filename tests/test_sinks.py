@@ -1,8 +1,8 @@
-import pytest
 import datetime as dt
 import glob
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
