@@ -277,7 +277,8 @@ def test_label_model_recovers_rates():
 def test_toxicity(spark, docs, none):
     rnd = random.Random(4)
     plain = [" ".join(rnd.choice("river hill stone water light paper green".split()) for _ in range(30)) for _ in range(600)]
-    rows = [(i, t + (" you are an idiot and a loser" if i % 2 else "") + (" grobulxy" if i % 4 == 1 else "")) for i, t in enumerate(plain)]
+    insults = "idiot loser clown trash stupid pathetic".split()  # each on its own, as the label model takes voters to be
+    rows = [(i, " ".join([t, *(rnd.sample(insults, rnd.randint(1, 3)) if i % 2 else [])])) for i, t in enumerate(plain)]
     rows += [(1000 + i, plain[i] + " zworkel") for i in range(100)]
     texts = spark.createDataFrame(rows, "doc_id bigint, text string")
     labels = texts.select("doc_id", ((F.col("doc_id") >= 1000) | (F.col("doc_id") % 2 == 1)).cast("int").alias("toxic"))

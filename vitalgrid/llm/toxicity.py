@@ -101,14 +101,16 @@ def find_stems(labelled: DataFrame) -> list[str]:
     """Beginnings of tokens that go with toxic labels; at most MOST_STEMS come to the driver.
 
     ``labelled`` has tokens and toxic. A stem must be in LEAST_SEEN texts and the
-    lower end of its share of toxic ones (two standard errors) reach LEAST_SHARE.
+    lower end of its share of toxic ones (two standard errors) reach LEAST_SHARE
+    and a quarter more than the share among all.
     A stem that goes on a shorter chosen one is dropped.
     """
+    base = labelled.agg(F.avg("toxic")).first()[0] or 0.0
     found = F.array_distinct(F.flatten(F.array(*[heads(n) for n in STEM_LENGTHS])))
     rows = labelled.select("toxic", F.explode(found).alias("stem")).groupBy("stem").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("k"))
     share = F.col("k") / F.col("n")
     low = share - 2 * F.sqrt((share * (1 - share) + 1 / F.col("n")) / F.col("n"))
-    chosen = rows.filter((F.col("n") >= LEAST_SEEN) & (low >= LEAST_SHARE)).orderBy(F.desc("k"), F.length("stem"), "stem").limit(MOST_STEMS)
+    chosen = rows.filter((F.col("n") >= LEAST_SEEN) & (low >= max(LEAST_SHARE, 1.25 * base))).orderBy(F.desc("k"), F.length("stem"), "stem").limit(MOST_STEMS)
     stems: list[str] = []
     for (stem,) in chosen.select("stem").collect():
         if not any(stem.startswith(s) for s in stems):
