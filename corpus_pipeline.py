@@ -27,8 +27,8 @@ def no_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: one document of each component of near copies stays; shingles of five words."""
-    return simhash.without_near_duplicates(docs, shingle=5)
+    """Operator 4: one document of each component of near copies stays; five-word shingles, similarity 0.8 or more."""
+    return simhash.without_resembling(docs, shingle=5, similarity=0.8)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -123,6 +123,51 @@ def fingerprint(text, n=3):
     return sum((sum(h >> b & 1 for h in hashes) * 2 > len(hashes)) << b for b in range(64))
 
 
+def five_words(text):
+    words = [w.encode() for w in WORD.findall("".join(c.lower() if c < "\x80" else c for c in text or ""))]
+    return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def test_wide_near_copies(spark, none):
+    rnd = random.Random(9)
+    texts = [r[1] for r in made()]
+    for n in (7, 60, 200):
+        for _ in range(12):
+            text = [f"w{rnd.randint(0, 5000)}" for _ in range(n)]
+            texts.append(" ".join(text))
+            for changes in range(1, 9):  # copies with words replaced at the end, so that a known share stays
+                texts.append(" ".join(text[: n - changes * n // 40] + [f"z{rnd.random()}" for _ in range(changes * n // 40)]))
+    texts += [f"chain a b c d {' '.join(map(str, range(i, i + 60)))}" for i in range(0, 24, 3)]
+    rnd.shuffle(texts)
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, i) for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string, n_chars bigint, code int").repartition(3)
+    sets = [five_words(t) for t in texts]
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if (texts[i] or "") == (texts[j] or "") or sets[i] == sets[j] or both * 5 >= 4 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((label[i], label[j]))
+                label = [a if x == b else x for x in label]
+    got = simhash.resembling(docs).collect()
+    same_sets = {(r.doc_id, r.component_id) for r in got}
+    assert len(got) == len(texts) and all(label[i] == label[c] for i, c in same_sets)  # joins nothing that brute force leaves apart
+    missed = sum(label[i] != c for i, c in same_sets)
+    assert missed <= 0.03 * len(texts)
+    kept = simhash.without_resembling(docs)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {c for _, c in same_sets}
+    assert simhash.resembling(none).count() == 0
+
+
+def test_index_spares_joined_nodes():
+    rnd = np.random.default_rng(3)
+    codes = np.sort(rnd.integers(0, 1 << 12, 300).astype(np.uint64))[:, None]
+    labels = np.arange(300) // 20
+    index = simhash.Index(codes, np.zeros(300, int))
+    pairs = lambda *x: {(int(i), int(j)) for a, b in index.pairs(4, *x) for i, j in zip(a, b)}
+    every = {(i, j) for i in range(300) for j in range(i + 1, 300) if int(codes[i, 0] ^ codes[j, 0]).bit_count() <= 4}
+    assert pairs() == every and pairs(labels) == {(i, j) for i, j in every if labels[i] != labels[j]}
+
+
 def test_simhash_components(docs, none):
     rows = [(i, fingerprint(t or "")) for i, t, *_ in made()]
     prints = [p for _, p in rows]

@@ -7,11 +7,16 @@ of an index: below it, neighbours in Gray order are gathered in nodes that hold
 the bit pattern their members share. Two nodes whose shared bits already differ
 too often are dropped with all that hangs below; else only the bits that became
 known on the way down are counted and added.
+
+Two bits of 64 is far stricter than a Jaccard similarity of 0.8, where about 15
+of 100 bits differ. ``resembling`` therefore takes fingerprints of 512 bits and
+puts each 16-bit block in front once. Pairs far below the expected distance are
+linked as they are; for those around it the sets of shingles are compared.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations, islice
 
 import numpy as np
@@ -32,6 +37,10 @@ FANOUT = 8
 PAIRS = 1 << 17  # pairs of nodes compared at once
 SIGN = np.uint64(1 << 63)  # flipped where ranks are signed longs, whose order is then theirs
 PART = 1 << 16  # words whose shingles are counted at once
+WIDE = 8  # words of 64 bits in a wide fingerprint
+WIDE_SHINGLE = 5  # words
+SIMILARITY = 0.8
+VOTERS = 1 << 13  # shingles that vote on a wide fingerprint at once
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
@@ -74,6 +83,64 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, tie bigint, fp bigint")
 
 
+def mixed(hashes: np.ndarray, number: int) -> np.ndarray:
+    """Other hashes of the same things, the ``number``-th set of them (the finishing steps of SplitMix64)."""
+    h = hashes + np.uint64(number * 0x9E3779B97F4A7C15 % (1 << 64))
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def shingle_hashes(text: bytes, shingle: int = WIDE_SHINGLE) -> np.ndarray:
+    """Hashes of the distinct shingles of a whole text, ascending; fewer words than a shingle form one."""
+    found = (m.group() for m in WORD_BYTES.finditer(text.lower())) if len(text) > PART * 64 else iter(WORD_BYTES.findall(text.lower()))
+    parts, last = [np.zeros(0, np.uint64)], []
+    while part := list(islice(found, PART)):
+        part = last + part
+        rows = zip(*(part[i:] for i in range(shingle)))
+        parts.append(np.array([xxhash.xxh64_intdigest(b" ".join(x), SEED) for x in rows], np.uint64))
+        last = part[-(shingle - 1) :]
+    hashes = np.unique(np.concatenate(parts))
+    if not len(hashes) and last:
+        hashes = np.array([xxhash.xxh64_intdigest(b" ".join(last), SEED)], np.uint64)
+    return hashes
+
+
+def wide_fingerprint(text: bytes, shingle: int = WIDE_SHINGLE) -> bytes:
+    """SimHash of 64 * WIDE bits over the distinct shingles of a whole text, as big-endian words; zeros without a word."""
+    hashes = shingle_hashes(text, shingle)
+    counts = np.zeros(64 * WIDE, np.int64)
+    for at in range(0, len(hashes), VOTERS):
+        sets = np.stack([mixed(hashes[at : at + VOTERS], number) for number in range(WIDE)], axis=1).astype(">u8")
+        counts += np.unpackbits(sets.view(np.uint8), axis=1).sum(axis=0, dtype=np.int32)
+    return np.packbits(counts * 2 > len(hashes)).tobytes()
+
+
+def distances(similarity: float) -> tuple[int, int]:
+    """Bits of a wide fingerprint up to which texts are surely, and up to which they may be, of this Jaccard similarity.
+
+    Three standard deviations below and above the distance expected of two texts of about one length.
+    """
+    n, p = 64 * WIDE, np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    spread = 3 * np.sqrt(n * p * (1 - p))
+    return int(n * p - spread), int(n * p + spread)
+
+
+def wide_fingerprints(docs: DataFrame, shingle: int = WIDE_SHINGLE) -> DataFrame:
+    """doc_id, tie, fp, code of every row: ``code`` is the wide fingerprint, ``fp`` its 64-bit hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = [wide_fingerprint(x.as_py(), shingle) for x in batch.column(2)]
+            prints = np.array([xxhash.xxh64_intdigest(c, SEED) for c in codes], np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(prints.view(np.int64)), pa.array(codes, pa.binary())], ["doc_id", "tie", "fp", "code"]
+            )
+
+    rows = docs.select("doc_id", F.xxhash64(whole()).alias("tie"), whole().cast("binary").alias("text"))
+    return rows.mapInArrow(run, "doc_id bigint, tie bigint, fp bigint, code binary")
+
+
 WIDTH = np.uint64(64 // BLOCKS)
 BLOCK = np.uint64((1 << 64 // BLOCKS) - 1)
 
@@ -112,11 +179,11 @@ class Index:
 
     Level 0 is the fingerprints; a node of a higher level covers up to FANOUT
     neighbours of one run and holds the bits they share; the top level has one
-    node a run.
+    node a run. ``codes`` has one column for each 64 bits.
     """
 
     def __init__(self, codes: np.ndarray, runs: np.ndarray):
-        self.levels = [(codes, np.full(len(codes), ~np.uint64(0)), np.arange(len(codes)), np.ones(len(codes), np.int64))]
+        self.levels = [(codes, np.full_like(codes, ~np.uint64(0)), np.arange(len(codes)), np.ones(len(codes), np.int64))]
         low, high = codes, codes
         while True:
             starts = np.flatnonzero(np.r_[True, runs[1:] != runs[:-1]])
@@ -125,16 +192,21 @@ class Index:
             sizes = np.diff(np.r_[starts, len(runs)])
             within = np.arange(len(runs)) - np.repeat(starts, sizes)
             first = np.flatnonzero(within % FANOUT == 0)
-            low, high = np.bitwise_and.reduceat(low, first), np.bitwise_or.reduceat(high, first)
+            low, high = np.bitwise_and.reduceat(low, first, axis=0), np.bitwise_or.reduceat(high, first, axis=0)
             self.levels.append((low, ~(low ^ high), first, np.diff(np.r_[first, len(runs)])))
             runs = runs[first]
 
-    def pairs(self, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Places of fingerprints of one run that differ in up to ``most`` bits, in parts."""
+    def pairs(self, most: int, labels: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places of fingerprints of one run that differ in up to ``most`` bits, in parts.
+
+        With ``labels``, only those whose labels differ; nodes all of one label are not opened.
+        """
+        same = [(labels, labels)]
+        for *_, first, _ in self.levels[1:] if labels is not None else []:
+            same.append((np.minimum.reduceat(same[-1][0], first), np.maximum.reduceat(same[-1][1], first)))
         top = len(self.levels) - 1
         roots = np.arange(len(self.levels[top][0]))
-        zero = np.zeros(len(roots), np.uint64)
-        todo = [(top, roots, roots, zero.astype(np.int64), zero)]
+        todo = [(top, roots, roots, np.zeros(len(roots), np.int64), np.zeros_like(self.levels[top][0]))]
         while todo:
             level, a, b, so_far, settled = todo.pop()
             if len(a) > PAIRS:
@@ -142,10 +214,17 @@ class Index:
                 todo += [(level, *(x[:half] for x in (a, b, so_far, settled))), (level, *(x[half:] for x in (a, b, so_far, settled)))]
                 continue
             pattern, mask, first, width = self.levels[level]
-            shared = mask[a] & mask[b]
-            so_far = so_far + np.bitwise_count((pattern[a] ^ pattern[b]) & shared & ~settled)
-            near = so_far <= most
-            a, b, so_far, settled = a[near], b[near], so_far[near], (settled | shared)[near]
+            if labels is not None:
+                low, high = same[level]
+                open_ = (low[a] != high[b]) | (high[a] != low[b])
+                a, b, so_far, settled = a[open_], b[open_], so_far[open_], settled[open_]
+            # Word by word: most pairs of wide codes are dropped after the first few.
+            for word in range(pattern.shape[1]):
+                shared = mask[a, word] & mask[b, word]
+                so_far = so_far + np.bitwise_count((pattern[a, word] ^ pattern[b, word]) & shared & ~settled[:, word])
+                near = so_far <= most
+                a, b, so_far, settled, shared = a[near], b[near], so_far[near], settled[near], shared[near]
+                settled[:, word] |= shared
             if level == 0:
                 yield a[a < b], b[a < b]
                 continue
@@ -184,7 +263,7 @@ def linked(turns: np.ndarray, codes: np.ndarray, front: int, most: int) -> tuple
     if not len(codes):
         return codes, codes
     labels = np.arange(len(codes))
-    for a, b in Index(codes, runs).pairs(most):
+    for a, b in Index(codes[:, None], runs).pairs(most):
         labels = joined(labels, a, b)
     own = turned_back(codes, turns)
     far = labels != np.arange(len(codes))
@@ -230,6 +309,92 @@ def links(prints: DataFrame, most: int = DIFFERENCES) -> DataFrame:
     return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
+def wide_links(codes: DataFrame, similarity: float) -> DataFrame:
+    """a, b (hashes of codes), sure: links between ``codes`` (distinct) that share a block.
+
+    Each of the 32 blocks is in front once; a run holds the codes that agree in
+    it. Two codes that differ in 15 of 100 bits share none with a chance of 0.09,
+    in 10 of 100 bits of 0.002. Sure links connect each code to the first of its
+    set; the others are pairs that may be similar enough and that the sure links
+    of their run leave apart.
+    """
+    surely, perhaps = distances(similarity)
+
+    def turn_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = words_of(batch.column(0))
+            for word in range(WIDE):
+                for block in range(BLOCKS):
+                    turn = tuple((block + i) % BLOCKS for i in range(BLOCKS))
+                    rank = gray_rank(turned(words[:, word], turn)) ^ SIGN
+                    number = pa.array(np.full(len(rank), word * BLOCKS + block, np.int32))
+                    yield pa.RecordBatch.from_arrays([number, pa.array(rank.view(np.int64)), batch.column(0)], ["turn", "rank", "code"])
+
+    rows = codes.select("code").mapInArrow(turn_all, "turn int, rank bigint, code binary")
+    dealt = rows.repartitionByRange("turn", F.shiftright("rank", 64 - int(WIDTH))).sortWithinPartitions("turn", "rank")
+
+    def out(turns: np.ndarray, fronts: np.ndarray, words: np.ndarray) -> Iterator[pa.RecordBatch]:
+        runs = np.cumsum(np.r_[True, (turns[1:] != turns[:-1]) | (fronts[1:] != fronts[:-1])])
+        many = np.bincount(runs)[runs] > 1
+        words, runs = words[many], runs[many]
+        if not len(words):
+            return
+
+        def named(a: np.ndarray, b: np.ndarray, sure: bool) -> pa.RecordBatch:
+            ends = (np.array([xxhash.xxh64_intdigest(words[i].astype(">u8").tobytes(), SEED) for i in at], np.uint64) for at in (a, b))
+            return pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64)) for x in ends), pa.array(np.full(len(a), sure))], ["a", "b", "sure"])
+
+        index, labels = Index(words, runs), np.arange(len(words))
+        for a, b in index.pairs(surely):
+            labels = joined(labels, a, b)
+        far = np.flatnonzero(labels != np.arange(len(words)))
+        yield named(far, labels[far], True)
+        for a, b in index.pairs(perhaps, labels):
+            yield named(a, b, False)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = np.zeros(0, np.int32), np.zeros(0, np.uint64), np.zeros((0, WIDE), np.uint64)
+        for batch in batches:
+            # The front of a Gray rank stands for the front of its code.
+            fronts = (np.asarray(batch.column(1)).view(np.uint64) ^ SIGN) >> (np.uint64(64) - WIDTH)
+            new = np.asarray(batch.column(0)), fronts, words_of(batch.column(2))
+            turns, fronts, words = (np.concatenate(x) for x in zip(kept, new))
+            # The last run may go on in the next batch.
+            cut = len(turns) - int(((turns == turns[-1]) & (fronts == fronts[-1])).sum())
+            kept = turns[cut:], fronts[cut:], words[cut:]
+            if cut:
+                yield from out(turns[:cut], fronts[:cut], words[:cut])
+        yield from out(*kept)
+
+    return dealt.mapInArrow(run, "a bigint, b bigint, sure boolean")
+
+
+def similar(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The ``pairs`` (a, b: fp of nodes) whose first documents have the Jaccard similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for fp, text in zip(batch.column(0), batch.column(1)):
+                hashes = shingle_hashes(text.as_py(), shingle).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([fp.as_py()]), pa.array([hashes], pa.list_(pa.int64()))], ["fp", "hashes"])
+
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct()
+    wanted = nodes.join(ends, F.col("fp") == F.col("end")).select("fp", F.col("first.doc_id").alias("_id"), F.col("first.tie").alias("_tie"))
+    texts = docs.select("doc_id", whole().cast("binary").alias("text"), F.xxhash64(whole()).alias("tie"))
+    texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie")))
+    sets = texts.select("fp", "text").mapInArrow(run, "fp bigint, hashes array<bigint>")
+    sets = stored(sets.groupBy("fp").agg(F.first("hashes").alias("hashes")))
+    left, right = (sets.select(F.col("fp").alias(f"_{x}"), F.col("hashes").alias(f"{x}_hashes")) for x in "ab")
+    both = pairs.join(left, F.col("a") == F.col("_a")).join(right, F.col("b") == F.col("_b"))
+    common = F.size(F.array_intersect("a_hashes", "b_hashes"))
+    return both.filter(common + 1e-9 >= similarity * (F.size("a_hashes") + F.size("b_hashes") - common)).select("a", "b")
+
+
+def words_of(codes: pa.Array) -> np.ndarray:
+    """Wide fingerprints as rows of 64-bit numbers."""
+    return np.frombuffer(b"".join(codes.to_pylist()), ">u8").astype(np.uint64).reshape(-1, WIDE)
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most: int = DIFFERENCES) -> DataFrame:
     """doc_id, tie, fp, component_id, stays of every row.
 
@@ -240,9 +405,33 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most: int = DIFFERE
     together; an empty table gives no rows; other columns are not looked at.
     """
     rows = stored(fingerprints(docs, shingle))
+    return gathered(rows, lambda nodes: links(nodes.select("fp"), most))
+
+
+def resembling(docs: DataFrame, shingle: int = WIDE_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, tie, fp, component_id, stays of every row, as ``near_duplicates`` has them.
+
+    Rows are linked if the Jaccard ``similarity`` of their sets of word shingles
+    is reached; ``wide_links`` says which are compared. ``fp`` is a 64-bit hash of
+    the wide fingerprint. Texts without a word share a fingerprint; nulls, equal
+    rows, an empty table and other columns are treated alike too.
+    """
+    rows = stored(wide_fingerprints(docs, shingle))
+
+    def edges(nodes: DataFrame) -> DataFrame:
+        found = stored(wide_links(nodes, similarity))
+        perhaps = found.filter("not sure").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        return found.filter("sure").select("a", "b").union(similar(docs, nodes, perhaps, shingle, similarity))
+
+    return gathered(rows, edges)
+
+
+def gathered(rows: DataFrame, links_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Components of ``rows`` (doc_id, tie, fp and maybe code) under the links between their distinct fp."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")
-    nodes = stored(rows.groupBy("fp").agg(F.min(order).alias("first")))
-    roots = components(links(nodes.select("fp"), most))
+    code = [F.first("code").alias("code")] if "code" in rows.columns else []
+    nodes = stored(rows.groupBy("fp").agg(F.min(order).alias("first"), *code))
+    roots = components(links_of(nodes))
     rooted = stored(
         nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("root"), "first")
     )
@@ -254,8 +443,17 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most: int = DIFFERE
 
 
 def without_near_duplicates(docs: DataFrame, **how) -> DataFrame:
-    """The documents with one of each component left."""
-    stay = near_duplicates(docs, **how).filter("stays").select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"))
+    """The documents with one of each component of ``near_duplicates`` left."""
+    return staying(docs, near_duplicates(docs, **how))
+
+
+def without_resembling(docs: DataFrame, **how) -> DataFrame:
+    """The documents with one of each component of ``resembling`` left."""
+    return staying(docs, resembling(docs, **how))
+
+
+def staying(docs: DataFrame, found: DataFrame) -> DataFrame:
+    stay = found.filter("stays").select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"))
     return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(whole()) == F.col("_tie")), "left_semi")
 
 
