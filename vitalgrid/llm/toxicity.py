@@ -12,9 +12,8 @@ from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,9 +70,16 @@ def heads(n: int) -> Column:
     return F.array_distinct(F.transform("tokens", lambda t: F.left(t, F.lit(n))))
 
 
-def begins(stems: list[str]) -> str:
-    """Pattern for any token that begins with one of the stems."""
-    return r"(?<![\p{L}\p{N}])(?:" + "|".join(stems) + ")"
+def begun(stems: list[str]) -> Column:
+    """Whether any token begins with one of the stems, looked up by length."""
+    by_length: dict[int, list[str]] = {}
+    for stem in stems:
+        by_length.setdefault(len(stem), []).append(stem)
+
+    def any_of(n: int, own: list[str]) -> Column:
+        return F.exists("tokens", lambda t: F.left(t, F.lit(n)).isin(own))
+
+    return reduce(lambda a, b: a | b, [any_of(n, own) for n, own in sorted(by_length.items())], F.lit(False))
 
 
 def with_votes(rows: DataFrame, stems: list[str]) -> DataFrame:
@@ -85,11 +91,9 @@ def with_votes(rows: DataFrame, stems: list[str]) -> DataFrame:
     every = F.array(*[F.lit(w) for w in sorted({w for words in lists for w in words})])
     rows = rows.select("*", F.explode(F.array(F.array_intersect("tokens", every))).alias("hits"))
     fires = [F.arrays_overlap("hits", F.array(*[F.lit(w) for w in words])) for words in lists] + [F.col("low").rlike(p) for p in PATTERNS.values()]
-    any_stem = F.col("low").rlike(begins(stems)) if stems else F.lit(False)
-    rows = rows.select("*", F.explode(F.array(any_stem)).alias("stemmed"))
+    rows = rows.select("*", F.explode(F.array(begun(stems))).alias("stemmed"))
     for k in range(STEM_VOTERS):
-        own = stems[k::STEM_VOTERS]
-        fires.append(F.when(F.col("stemmed"), F.col("low").rlike(begins(own))) if own else F.lit(False))
+        fires.append(F.when(F.col("stemmed"), begun(stems[k::STEM_VOTERS])))
     votes = reduce(lambda a, b: a.bitwiseOR(b), [F.when(f, 1 << j).otherwise(0) for j, f in enumerate(fires)])
     return rows.withColumn("votes", votes).drop("hits", "stemmed")
 
@@ -194,18 +198,37 @@ def label_model(patterns: dict[tuple[int, int | None], int], n_voters: int = N_V
 
 
 def featured(voted: DataFrame, bits: int = BITS) -> DataFrame:
-    """Hashed presence of tokens, of their beginnings, and of the voters that fire."""
-    fired = F.filter(F.array(*[F.when(F.col("votes").bitwiseAND(1 << j) != 0, F.lit(f"\x00{j}")) for j in range(N_VOTERS)]), lambda x: x.isNotNull())
-    return HashingTF(numFeatures=1 << bits, binary=True, inputCol="terms", outputCol="features").transform(
-        voted.withColumn("terms", F.concat("tokens", *[heads(n) for n in HEADS], fired)).drop("low", "tokens")
-    )
+    """Rows with ``buckets``: the distinct hashes of tokens, of their beginnings, and of the voters that fire."""
+
+    def bucket(term: Column) -> Column:
+        return F.pmod(F.hash(term), F.lit(1 << bits))
+
+    def first(n: int) -> Column:
+        return F.transform("tokens", lambda t: bucket(F.left(t, F.lit(n))))
+
+    fired = F.filter(F.array(*[F.when(F.col("votes").bitwiseAND(1 << j) != 0, bucket(F.lit(f"\x00{j}"))) for j in range(N_VOTERS)]), lambda x: x.isNotNull())
+    parts = [F.transform("tokens", bucket), *[first(n) for n in HEADS], fired]
+    return voted.withColumn("buckets", F.array_distinct(F.concat(*parts))).drop("low", "tokens")
+
+
+@F.udf(VectorUDT())
+def presence(buckets):
+    """One for each bucket, as a vector to train on."""
+    return Vectors.sparse(1 << BITS, sorted(buckets), [1.0] * len(buckets))
 
 
 @dataclass
 class Trained:
     stems: list[str]
     labels: LabelModel
-    classifier: LogisticRegressionModel
+    weights: np.ndarray  # by bucket
+    intercept: float
+
+    def chance(self) -> Column:
+        """P(toxic) of the rows of ``featured``."""
+        weights = F.split(F.lit(",".join(map(repr, self.weights.tolist()))), ",").cast("array<double>")  # folded to one constant
+        margin = F.aggregate("buckets", F.lit(self.intercept), lambda total, b: total + F.get(weights, b))
+        return 1 / (1 + F.exp(-margin))
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = MOST_TRAINED) -> Trained | None:
@@ -233,9 +256,9 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_TRAINED) -> Train
     chance = F.create_map(*[F.lit(x) for v, p in zip(seen, model.posterior(np.array(seen, np.int64))) for x in (v, float(p))])
     weighed = featured(with_votes(sample.filter("train"), stems).withColumn("p", chance[F.col("votes")]))
     sides = F.array(*[F.struct(F.lit(y).alias("label"), w.alias("weight")) for y, w in ((1.0, F.col("p")), (0.0, 1 - F.col("p")))])
-    examples = stored(weighed.select("features", F.inline(sides)).filter("weight > 0.001"))
+    examples = stored(weighed.select(presence("buckets").alias("features"), F.inline(sides)).filter("weight > 0.001"))
     classifier = LogisticRegression(weightCol="weight", regParam=PENALTY, elasticNetParam=1.0, maxIter=60, tol=1e-5).fit(examples)
-    return Trained(stems, model, classifier)
+    return Trained(stems, model, classifier.coefficients.toArray(), float(classifier.intercept))
 
 
 def score(docs: DataFrame, trained: Trained | None) -> DataFrame:
@@ -247,9 +270,8 @@ def score(docs: DataFrame, trained: Trained | None) -> DataFrame:
     held = (fold(F.col("doc_id")) == 0).alias("held_out")
     if trained is None:
         return docs.select("doc_id", held, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
-    rows = trained.classifier.transform(featured(with_votes(tokens_of(docs.select("doc_id", "text")), trained.stems)))
-    chance = vector_to_array("probability")[1]
-    return rows.select("doc_id", held, chance.alias("score"), (chance >= CUT).cast("int").alias("predicted"))
+    rows = featured(with_votes(tokens_of(docs.select("doc_id", "text")), trained.stems)).select("doc_id", trained.chance().alias("score"))
+    return rows.select("doc_id", held, "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
 
 
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
