@@ -8,6 +8,7 @@ classifier on hashed words is then trained on its posterior labels.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -226,8 +227,12 @@ class Trained:
 
     def chance(self) -> Column:
         """P(toxic) of the rows of ``featured``."""
-        weights = F.split(F.lit(",".join(map(repr, self.weights.tolist()))), ",").cast("array<double>")  # folded to one constant
-        margin = F.aggregate("buckets", F.lit(self.intercept), lambda total, b: total + F.get(weights, b))
+        used = np.flatnonzero(self.weights).tolist()  # few: the penalty leaves most buckets without weight
+        if not used:
+            return F.lit(1 / (1 + math.exp(-self.intercept)))
+        weights = F.create_map(*[F.lit(x) for b in used for x in (b, float(self.weights[b]))])
+        hits = F.array_intersect("buckets", F.array(*[F.lit(b) for b in used]))
+        margin = F.aggregate(hits, F.lit(self.intercept), lambda total, b: total + weights[b])
         return 1 / (1 + F.exp(-margin))
 
 
