@@ -350,3 +350,30 @@ def test_licenses(spark):
     ]
     same(licenses.scan(df).select("doc_id", "license", "origin"), expected)
     assert licenses.scan(df.limit(0)).count() == 0
+
+
+def test_license_notices_inside_sentences(spark):
+    terms = "you can redistribute it and/or modify\n# it under the terms of the GNU {}General Public License as published by\n# the Free Software Foundation; either version {} of the License, or any later version."
+    bsd = "Copyright (c) 2020 Jane Doe\nAll rights reserved.\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:"
+    texts = [
+        ("This project is licensed under the MIT License.", "MIT"), ("Foo is released under the MIT License.", "MIT"),
+        ("This project is licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+        ("Copyright (c) 2020 Jane Doe, all rights reserved.", "proprietary"),
+        ("# This program is free software: " + terms.format("", 2), "GPL-2.0"), ("# This is free software: " + terms.format("", 3), "GPL-3.0"),
+        ("# This library is free software; " + terms.format("Lesser ", 2.1), "LGPL-2.1"), ("# Bar: " + terms.format("Affero ", 3), "AGPL-3.0"),
+        (bsd, "BSD-2-Clause"),
+        (bsd + " ...\n" + "word " * 60 + "3. Neither the name of the University nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission.", "BSD-3-Clause"),
+        (bsd + " ...\n3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission.", "BSD-3-Clause"),
+        ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.", "ISC"),
+        ("This project is licensed under the Foo License.", None), ("Copyright (c) 2020 Jane Doe", None), ("a driving licence", None),
+    ]
+    df = spark.createDataFrame([(i, f"d{i}/x", t) for i, (t, _) in enumerate(texts)], "doc_id bigint, path string, text string")
+    same(licenses.scan(df).select("doc_id", "license"), [(i, name) for i, (_, name) in enumerate(texts)])
+
+
+def test_license_words_weigh_by_their_count(spark):
+    # Each of these words stands in every passage, so none of them weighs more than a template's.
+    df = spark.createDataFrame([(i, "x", f"zebra quagga licensed under the mit license okapi n{i}") for i in range(40)], "doc_id bigint, path string, text string")
+    words = {r.passage.split()[0] for r in licenses.passages(df).collect()}
+    assert words == {"zebra"}
+    assert {r.license for r in licenses.scan(df).collect()} == {"MIT"}

@@ -1,13 +1,12 @@
 """License scans: sparse TF-IDF cosine to templates, then inheritance down the directories.
 
-Passages of a text that mention licensing are compared with template notices. A
-file with a notice of its own has that license; others take the one of the
-nearest directory above that holds a licence file.
+Windows of a text as long as a template, around words that mention licensing, are
+compared with template notices. A file with a notice of its own has that license;
+others take the one of the nearest directory above that holds a licence file.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 
@@ -15,66 +14,117 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalgrid.llm.common import stored, table, whole
+from vitalgrid.llm.rules import once
 
-# Usual short notices by license.
+# Usual short notices by license, and the paragraphs by which full texts are told apart.
 TEMPLATES = {
     "MIT": ["Released under the MIT License.", "Licensed under the MIT license", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"],
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "you may not use this file except in compliance with the Apache License"],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3"],
-    "BSD-3-Clause": ["Licensed under the BSD 3-Clause License", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
+    "ISC": ["Licensed under the ISC License", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"],
+    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "you may not use this file except in compliance with the Apache License", "Apache License Version 2.0, January 2004"],
+    "GPL-1.0": ["you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 1", "GNU GENERAL PUBLIC LICENSE Version 1, February 1989"],
+    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"],
+    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "LGPL-2.0": ["you can redistribute it and/or modify it under the terms of the GNU Library General Public License as published by the Free Software Foundation; either version 2", "GNU LIBRARY GENERAL PUBLIC LICENSE Version 2, June 1991"],
+    "LGPL-2.1": ["This work is licensed under the GNU Lesser General Public License, version 2.1.", "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"],
+    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3.", "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3.", "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"],
+    "BSD-2-Clause": ["Licensed under the BSD 2-Clause License", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"],
+    "BSD-3-Clause": ["Licensed under the BSD 3-Clause License", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"],
+    "Artistic-1.0": ["Licensed under the Artistic License", "The Artistic License Preamble"],
+    "MPL-1.1": ["subject to the Mozilla Public License Version 1.1", "Mozilla Public License Version 1.1"],
+    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Mozilla Public License Version 2.0"],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License"],
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution ShareAlike 4.0 International License"],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution NonCommercial 4.0 International License"],
-    "CC0-1.0": ["Dedicated to the public domain under CC0 1.0 Universal"],
+    "CC0-1.0": ["Dedicated to the public domain under CC0 1.0 Universal", "Creative Commons Legal Code CC0 1.0 Universal"],
     "proprietary": ["All rights reserved."],
 }
-CUE = r"licen[sc]|copyright|rights reserved|public domain|redistribut|spdx|free of charge"
+# Notices that are also part of other licenses' texts: they stand where no other notice is found.
+PART_OF_OTHERS = {"BSD-2-Clause": 1, "proprietary": 2}
+CUE = r"licen[sc]|copyright|rights reserved|public domain|redistribut|spdx|free of charge|endorse or promote|cc0"
+CUE_TOKEN = r"licen[sc]|copyright|redistribut|spdx|cc0|^(promote|reserved|domain|charge)$"
 TOKEN = r"[a-z0-9]+(?:[-.][a-z0-9]+)*"
-PASSAGE = r"\n|(?<=[.;!?])[\x20\x09-\x0D]+"  # where passages are cut
 LEAST_COSINE = 0.6
 
 
-def notices() -> list[tuple[str, Counter]]:
-    return [(name, Counter(re.findall(TOKEN, text.lower()))) for name, texts in TEMPLATES.items() for text in texts]
+def notices() -> list[tuple[str, list[str]]]:
+    return [(name, re.findall(TOKEN, text.lower())) for name, texts in TEMPLATES.items() for text in texts]
+
+
+REACH = max(len(words) for _, words in notices()) - 1  # words to each side of a licensing word
 
 
 def passages(docs: DataFrame) -> DataFrame:
-    """doc_id, passage: the lower-cased passages of whole texts that hold a licensing word, with whatever else docs has but text."""
-    rows = docs.withColumn("passage", F.explode(F.split(F.lower(whole()), PASSAGE))).drop("text")
-    return rows.filter(F.col("passage").rlike(CUE)).withColumn("passage", F.trim("passage"))
+    """doc_id, passage: the surroundings of each licensing word in whole texts, with whatever else docs has but text.
+
+    A passage is the lower-cased words before the licensing one, a line feed, then
+    that word and those after it: as far to each side as a template may reach.
+    """
+    rows = docs.withColumn("_text", F.lower(whole())).drop("text").filter(F.col("_text").rlike(CUE))
+    rows = once(rows, "_words", F.regexp_extract_all("_text", F.lit(TOKEN), F.lit(0))).drop("_text")
+    w = F.col("_words")
+
+    def around(word: Column, i: Column) -> Column:
+        before = F.slice(w, F.greatest(i - REACH, F.lit(0)) + 1, F.least(i, F.lit(REACH)))
+        return F.when(word.rlike(CUE_TOKEN), F.concat(F.array_join(before, " "), F.lit("\n"), F.array_join(F.slice(w, i + 1, REACH + 1), " ")))
+
+    return rows.withColumn("passage", F.explode(F.filter(F.transform(w, around), lambda x: x.isNotNull()))).drop("_words")
+
+
+def windows(distinct: DataFrame) -> DataFrame:
+    """passage, size, window: every run of words that has a template's length and the passage's licensing word.
+
+    Passages shorter than a template are one window.
+    """
+    sizes = F.array(*[F.lit(n) for n in sorted({len(words) for _, words in notices()})])
+    parts = F.split("passage", "\n")
+    rows = distinct.select("passage", F.size(F.filter(F.split(parts[0], " "), lambda x: x != "")).alias("cue"), F.split(F.trim(F.translate("passage", "\n", " ")), " ").alias("w"), F.explode(sizes).alias("size"))
+    last = F.greatest(F.least("cue", F.size("w") - F.col("size")), F.lit(0))
+    first = F.least(F.greatest(F.col("cue") - F.col("size") + 1, F.lit(0)), last)
+    rows = rows.select("passage", "size", "w", F.explode(F.sequence(first, last)).alias("at"))
+    return rows.select("passage", "size", F.array_join(F.slice("w", F.col("at") + 1, F.col("size")), " ").alias("window")).filter(F.col("window").rlike(CUE))
 
 
 def matches(found: DataFrame) -> DataFrame:
-    """passage, license, cosine of the distinct passages that come near enough to a template.
+    """passage, license, cosine, place of the distinct passages that come near enough to a template.
 
-    Inverse document frequencies are taken over all passages found; only those of
-    the templates' words, a fixed number, come to the driver. A word outside the
-    templates weighs like one that no passage has.
+    Document frequencies of all words are counted over all passages found and the
+    templates, and joined to the words of windows. Of the matches of a passage
+    that with the least ``place`` in ``PART_OF_OTHERS``, then the nearest counts.
     """
     spark = found.sparkSession
     templates = notices()
-    vocabulary = sorted({t for _, words in templates for t in words})
     distinct = stored(found.groupBy("passage").agg(F.count(F.lit(1)).alias("times")))
-    tokens = distinct.select("passage", "times", F.explode(F.regexp_extract_all("passage", F.lit(TOKEN), F.lit(0))).alias("token"))
-    tokens = tokens.groupBy("passage", "token").agg(F.first("times").alias("times"), F.count(F.lit(1)).alias("tf"))
-    known = F.broadcast(spark.createDataFrame([(t,) for t in vocabulary], "word string"))
-    times = dict(tokens.join(known, F.col("token") == F.col("word")).groupBy("token").agg(F.sum("times")).collect())
-    total = distinct.agg(F.sum("times")).first()[0] or 0
-    idf = {t: math.log((1 + total) / (1 + times.get(t, 0))) + 1 for t in vocabulary}
-    rare = math.log(1 + total) + 1
-    rows = []
-    for number, (name, words) in enumerate(templates):
-        norm = math.sqrt(sum((n * idf[t]) ** 2 for t, n in words.items()))
-        rows += [(number, name, t, n * idf[t] / norm) for t, n in words.items()]
-    weights = F.broadcast(spark.createDataFrame(rows, "template int, license string, word string, weight double"))
-    own = F.broadcast(spark.createDataFrame(list(idf.items()), "word string, idf double"))
-    weighed = stored(tokens.join(own, F.col("token") == F.col("word"), "left").select("passage", "token", (F.col("tf") * F.coalesce("idf", F.lit(rare))).alias("w")))
-    norms = weighed.groupBy("passage").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dots = weighed.join(weights, F.col("token") == F.col("word")).groupBy("passage", "template", "license").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
-    near = dots.join(norms, "passage").withColumn("cosine", F.round(F.col("dot") / F.col("norm"), 9)).filter(F.col("cosine") >= LEAST_COSINE)
-    best = F.max(F.struct("cosine", (-F.col("template")).alias("t"), "license")).alias("best")  # of equal ones the first template
-    return near.groupBy("passage").agg(best).select("passage", "best.license", "best.cosine")
+    words = distinct.select("times", F.explode(F.array_distinct(F.split(F.trim(F.translate("passage", "\n", " ")), " "))).alias("word"))
+    own = spark.createDataFrame([(1, t) for _, words_ in templates for t in set(words_)], "times bigint, word string")
+    total = (distinct.agg(F.sum("times")).first()[0] or 0) + len(templates)
+    idf = stored(words.union(own).groupBy("word").agg((F.log((1 + total) / (1 + F.sum("times"))) + 1).alias("idf")))
+    rows = [(i, name, len(ws), t, n) for i, (name, ws) in enumerate(templates) for t, n in Counter(ws).items()]
+    weights = spark.createDataFrame(rows, "template int, license string, length int, term string, n int").join(idf, F.col("term") == F.col("word"))
+    weights = stored(weights.select("template", "license", "length", "term", (F.col("n") * F.col("idf")).alias("weight")))
+    lengths = weights.groupBy(F.col("template").alias("_template")).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("scale"))
+
+    placed = stored(windows(distinct))
+    tokens = placed.select("size", "window").distinct().select("size", "window", F.explode(F.split("window", " ")).alias("token"))
+    tokens = tokens.groupBy("size", "window", "token").agg(F.count(F.lit(1)).alias("tf"))
+    weighed = stored(tokens.join(idf, F.col("token") == F.col("word")).select("size", "window", "token", (F.col("tf") * F.col("idf")).alias("w")))
+    norms = weighed.groupBy(F.col("size").alias("_size"), F.col("window").alias("_window")).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    dots = weighed.join(F.broadcast(weights), (F.col("token") == F.col("term")) & (F.col("size") == F.col("length")))
+    dots = dots.groupBy("size", "window", "template", "license").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
+    near = dots.join(norms, (F.col("size") == F.col("_size")) & (F.col("window") == F.col("_window"))).join(F.broadcast(lengths), F.col("template") == F.col("_template"))
+    near = near.withColumn("cosine", F.round(F.col("dot") / F.col("norm") / F.col("scale"), 9)).filter(F.col("cosine") >= LEAST_COSINE)
+    best = F.min(F.struct(place(F.col("license")).alias("place"), (-F.col("cosine")).alias("far"), "template", "license")).alias("best")  # of equal ones the first template
+    near = near.groupBy(F.col("size").alias("_size"), F.col("window").alias("_window")).agg(best)
+    both = placed.join(near, (F.col("size") == F.col("_size")) & (F.col("window") == F.col("_window")))
+    return both.groupBy("passage").agg(F.min("best").alias("best")).select("passage", "best.license", (-F.col("best.far")).alias("cosine"), "best.place")
+
+
+def place(license: Column) -> Column:
+    """0, or how far a license stands back where there are others."""
+    out = F.lit(0)
+    for name, number in PART_OF_OTHERS.items():
+        out = F.when(license == name, number).otherwise(out)
+    return out
 
 
 def above(path: Column) -> Column:
@@ -85,8 +135,8 @@ def above(path: Column) -> Column:
 def scan(files: DataFrame) -> DataFrame:
     """doc_id, path, license, cosine, origin of every row of files (doc_id, path, text).
 
-    ``origin``: ``own`` (the best notice in the whole text; of equal ones the
-    first by name), ``inherited`` from the nearest directory at or above the
+    ``origin``: ``own`` (the best notice in the whole text, those of
+    ``PART_OF_OTHERS`` last; of equal ones the first by name), ``inherited`` from the nearest directory at or above the
     file's whose licence file (LICENSE, LICENCE, COPYING, any ending) has one, or
     ``none``. Several licence files of a directory: the best notice, then the
     first by name. A null path inherits nothing; a null text has no notice; rows
@@ -95,11 +145,11 @@ def scan(files: DataFrame) -> DataFrame:
     """
     files = files.select("doc_id", "path", "text")
     found = stored(passages(files))
-    best = F.min(F.struct((-F.col("cosine")).alias("far"), "license")).alias("best")
+    best = F.min(F.struct("place", (-F.col("cosine")).alias("far"), "license")).alias("best")
     notice = (
         found.join(matches(found).withColumnRenamed("passage", "_passage"), F.col("passage") == F.col("_passage"))
         .groupBy("doc_id", "path").agg(best)
-        .select(F.col("doc_id").alias("_id"), F.col("path").alias("_path"), F.col("best.license").alias("own"), (-F.col("best.far")).alias("cosine"))
+        .select(F.col("doc_id").alias("_id"), F.col("path").alias("_path"), F.col("best.license").alias("own"), (-F.col("best.far")).alias("cosine"), "best.place")
     )
     notice = stored(notice)
     rows = files.select("doc_id", "path").join(notice, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("path").eqNullSafe(F.col("_path")), "left")
@@ -107,7 +157,7 @@ def scan(files: DataFrame) -> DataFrame:
     holders = (
         notice.filter(F.col("_path").rlike(r"(?i)(^|/)(licen[sc]e|copying)(\.[^/]*)?$"))
         .groupBy(above(F.col("_path")).alias("holder"))
-        .agg(F.min(F.struct((-F.col("cosine")).alias("far"), F.col("own").alias("license"))).alias("held"))
+        .agg(F.min(F.struct("place", (-F.col("cosine")).alias("far"), F.col("own").alias("license"))).alias("held"))
         .select("holder", F.col("held.license").alias("license"))
     )
     # Each directory once: its ancestors, itself included, joined to those that hold a licence.
