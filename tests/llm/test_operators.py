@@ -158,6 +158,20 @@ def test_wide_near_copies(spark, none):
     assert simhash.resembling(none).count() == 0
 
 
+def test_no_pair_of_the_similarity_is_lost(spark):
+    # Pairs of exactly 4 of 5, 8 of 10 and 20 of 25 shingles, and one just below.
+    texts = []
+    for n, p in ((8, 300), (12, 100), (24, 100)):
+        for k in range(p):
+            words = [f"w{n}x{k}x{i}" for i in range(n)]
+            shingles = n - 4
+            changed = max(1, shingles // 4)
+            texts.append((" ".join(words), " ".join(words + [f"y{n}x{k}x{i}" for i in range(changed)]), " ".join(words + [f"y{n}x{k}x{i}" for i in range(changed + 2)])))
+    rows = [(3 * i + j, t) for i, three in enumerate(texts) for j, t in enumerate(three)]
+    found = {r.doc_id: r.component_id for r in simhash.resembling(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)).collect()}
+    assert [i for i in range(0, len(rows), 3) if found[i] != found[i + 1]] == []
+
+
 def test_index_spares_joined_nodes():
     rnd = np.random.default_rng(3)
     codes = np.sort(rnd.integers(0, 1 << 12, 300).astype(np.uint64))[:, None]

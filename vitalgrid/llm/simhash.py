@@ -11,7 +11,8 @@ known on the way down are counted and added.
 Two bits of 64 is far stricter than a Jaccard similarity of 0.8, where about 15
 of 100 bits differ. ``resembling`` therefore takes fingerprints of 512 bits and
 puts each 16-bit block in front once. Pairs far below the expected distance are
-linked as they are; for those around it the sets of shingles are compared.
+linked as they are. That only gathers crowds; links between what stays apart come
+from the sets of shingles, exactly: the rarest of two similar sets meet.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from itertools import combinations, islice
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalgrid.llm.common import WORD_BYTES, stored, table, whole
@@ -40,6 +41,8 @@ PART = 1 << 16  # words whose shingles are counted at once
 WIDE = 8  # words of 64 bits in a wide fingerprint
 WIDE_SHINGLE = 5  # words
 SIMILARITY = 0.8
+SAMPLE = 16  # one text of so many is looked at for usual shingles
+USUAL = 1 << 16  # of which so many are kept
 VOTERS = 1 << 13  # shingles that vote on a wide fingerprint at once
 
 
@@ -108,7 +111,10 @@ def shingle_hashes(text: bytes, shingle: int = WIDE_SHINGLE) -> np.ndarray:
 
 def wide_fingerprint(text: bytes, shingle: int = WIDE_SHINGLE) -> bytes:
     """SimHash of 64 * WIDE bits over the distinct shingles of a whole text, as big-endian words; zeros without a word."""
-    hashes = shingle_hashes(text, shingle)
+    return wide_code(shingle_hashes(text, shingle))
+
+
+def wide_code(hashes: np.ndarray) -> bytes:
     counts = np.zeros(64 * WIDE, np.int64)
     for at in range(0, len(hashes), VOTERS):
         sets = np.stack([mixed(hashes[at : at + VOTERS], number) for number in range(WIDE)], axis=1).astype(">u8")
@@ -116,29 +122,77 @@ def wide_fingerprint(text: bytes, shingle: int = WIDE_SHINGLE) -> bytes:
     return np.packbits(counts * 2 > len(hashes)).tobytes()
 
 
-def distances(similarity: float) -> tuple[int, int]:
-    """Bits of a wide fingerprint up to which texts are surely, and up to which they may be, of this Jaccard similarity.
+def sure_distance(similarity: float) -> int:
+    """Bits of a wide fingerprint up to which texts are surely of this Jaccard similarity.
 
-    Three standard deviations below and above the distance expected of two texts of about one length.
+    Three standard deviations below the distance expected of two texts of about one length.
     """
     n, p = 64 * WIDE, np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    spread = 3 * np.sqrt(n * p * (1 - p))
-    return int(n * p - spread), int(n * p + spread)
+    return int(n * p - 3 * np.sqrt(n * p * (1 - p)))
+
+
+def usual(docs: DataFrame, shingle: int = WIDE_SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Shingle hashes that many texts have, ascending, and their counts in a sample of the texts.
+
+    They only put an order on shingles, so what the sample misses costs time, not links.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_hashes(text.as_py(), shingle).view(np.int64))], ["h"])
+
+    sample = docs.filter(F.pmod(F.xxhash64(whole()), F.lit(SAMPLE)) == 0).select(whole().cast("binary").alias("text"))
+    counts = sample.mapInArrow(run, "h bigint").groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    rows = counts.orderBy(F.desc("n"), "h").limit(USUAL).toArrow().combine_chunks()
+    hashes, n = (rows.column(x).to_numpy() for x in ("h", "n"))
+    order = np.argsort(hashes.view(np.uint64))
+    return hashes.view(np.uint64)[order], n[order]
+
+
+def rarest(hashes: np.ndarray, known: tuple[np.ndarray, np.ndarray], similarity: float) -> np.ndarray:
+    """So many of a set's shingles, the least usual first, that any two similar sets have one in common.
+
+    A set of n that reaches the Jaccard similarity s with another shares at least
+    s * n shingles with it, so one of any n - s * n + 1 in an order that holds for
+    all sets: here by count, then hash.
+    """
+    if not len(hashes):
+        return hashes
+    n = np.zeros(len(hashes), np.int64)
+    if len(known[0]):
+        at = np.minimum(np.searchsorted(known[0], hashes), len(known[0]) - 1)
+        n = np.where(known[0][at] == hashes, known[1][at], 0)
+    most = len(hashes) - int(np.ceil(similarity * len(hashes) - 1e-9)) + 1
+    return hashes[np.argsort(n, kind="stable")[:most]]
 
 
-def wide_fingerprints(docs: DataFrame, shingle: int = WIDE_SHINGLE) -> DataFrame:
-    """doc_id, tie, fp, code of every row: ``code`` is the wide fingerprint, ``fp`` its 64-bit hash."""
+def wide_fingerprints(docs: DataFrame, shingle: int = WIDE_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, tie, fp, code, print, size, keys of every row.
+
+    ``fp`` is a 64-bit hash of the set of shingles, ``size`` their number and
+    ``keys`` the rarest; ``code`` is the wide fingerprint and ``print`` its hash.
+    """
+    known = docs.sparkSession.sparkContext.broadcast(usual(docs, shingle))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes = [wide_fingerprint(x.as_py(), shingle) for x in batch.column(2)]
-            prints = np.array([xxhash.xxh64_intdigest(c, SEED) for c in codes], np.uint64)
+            fp, codes, prints, sizes, keys = [], [], [], [], []
+            for text in batch.column(2):
+                hashes = shingle_hashes(text.as_py(), shingle)
+                fp.append(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
+                codes.append(wide_code(hashes))
+                prints.append(xxhash.xxh64_intdigest(codes[-1], SEED))
+                sizes.append(len(hashes))
+                keys.append(rarest(hashes, known.value, similarity).view(np.int64))
+            fp, prints = (pa.array(np.array(x, np.uint64).view(np.int64)) for x in (fp, prints))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(prints.view(np.int64)), pa.array(codes, pa.binary())], ["doc_id", "tie", "fp", "code"]
-            )
+                [batch.column(0), batch.column(1), fp, pa.array(codes, pa.binary()), prints, pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64()))],
+                ["doc_id", "tie", "fp", "code", "print", "size", "keys"],
+            )
 
     rows = docs.select("doc_id", F.xxhash64(whole()).alias("tie"), whole().cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, tie bigint, fp bigint, code binary")
+    return rows.mapInArrow(run, "doc_id bigint, tie bigint, fp bigint, code binary, print bigint, size int, keys array<bigint>")
 
 
 WIDTH = np.uint64(64 // BLOCKS)
@@ -310,15 +364,12 @@ def links(prints: DataFrame, most: int = DIFFERENCES) -> DataFrame:
 
 
 def wide_links(codes: DataFrame, similarity: float) -> DataFrame:
-    """a, b (hashes of codes), sure: links between ``codes`` (distinct) that share a block.
+    """a, b (hashes of codes): sure links between ``codes`` (distinct) that share a block.
 
     Each of the 32 blocks is in front once; a run holds the codes that agree in
-    it. Two codes that differ in 15 of 100 bits share none with a chance of 0.09,
-    in 10 of 100 bits of 0.002. Sure links connect each code to the first of its
-    set; the others are pairs that may be similar enough and that the sure links
-    of their run leave apart.
+    it. Links connect each code to the first of its set.
     """
-    surely, perhaps = distances(similarity)
+    surely = sure_distance(similarity)
 
     def turn_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -340,17 +391,15 @@ def wide_links(codes: DataFrame, similarity: float) -> DataFrame:
         if not len(words):
             return
 
-        def named(a: np.ndarray, b: np.ndarray, sure: bool) -> pa.RecordBatch:
+        def named(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
             ends = (np.array([xxhash.xxh64_intdigest(words[i].astype(">u8").tobytes(), SEED) for i in at], np.uint64) for at in (a, b))
-            return pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64)) for x in ends), pa.array(np.full(len(a), sure))], ["a", "b", "sure"])
+            return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in ends], ["a", "b"])
 
         index, labels = Index(words, runs), np.arange(len(words))
         for a, b in index.pairs(surely):
             labels = joined(labels, a, b)
         far = np.flatnonzero(labels != np.arange(len(words)))
-        yield named(far, labels[far], True)
-        for a, b in index.pairs(perhaps, labels):
-            yield named(a, b, False)
+        yield named(far, labels[far])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = np.zeros(0, np.int32), np.zeros(0, np.uint64), np.zeros((0, WIDE), np.uint64)
@@ -366,7 +415,17 @@ def wide_links(codes: DataFrame, similarity: float) -> DataFrame:
                 yield from out(turns[:cut], fronts[:cut], words[:cut])
         yield from out(*kept)
 
-    return dealt.mapInArrow(run, "a bigint, b bigint, sure boolean")
+    return dealt.mapInArrow(run, "a bigint, b bigint")
+
+
+def apart(keys: DataFrame, links: DataFrame) -> DataFrame:
+    """The ``keys`` that sets of several components under ``links`` share, with the component as ``root`` and the ``first`` of the key."""
+    roots = components(links)
+    rooted = stored(keys.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "size", "h", F.coalesce("root", "fp").alias("root")))
+    mixed = rooted.groupBy(F.col("h").alias("_h")).agg(
+        F.min("root").alias("least"), F.max("root").alias("most"), F.min(F.struct("fp", "size", "root")).alias("first")
+    )
+    return rooted.join(mixed.filter("least != most"), F.col("h") == F.col("_h")).select("fp", "size", "h", "root", "first")
 
 
 def similar(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int, similarity: float) -> DataFrame:
@@ -390,6 +449,27 @@ def similar(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int, s
     return both.filter(common + 1e-9 >= similarity * (F.size("a_hashes") + F.size("b_hashes") - common)).select("a", "b")
 
 
+def set_links(sets: DataFrame, links: DataFrame, similarity: float, alike: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """a, b: ``links`` and the pairs of ``sets`` (fp, size, keys) that they leave apart and that are ``alike``; none is lost.
+
+    Where a key is shared its first set is compared with the others, then all
+    pairs that are still apart are.
+    """
+    keys = sets.select("fp", "size", F.explode("keys").alias("h"))
+    common = keys.groupBy(F.col("h").alias("_h")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    keys = stored(keys.join(common, F.col("h") == F.col("_h")).select("fp", "size", "h"))
+
+    def reach(x: Column, y: Column) -> Column:
+        return F.least(x, y) + 1e-9 >= similarity * F.greatest(x, y)
+
+    rows = apart(keys, links).filter(F.col("root") != F.col("first.root")).filter(reach(F.col("size"), F.col("first.size")))
+    links = stored(links.union(alike(stored(rows.select(F.col("first.fp").alias("a"), F.col("fp").alias("b")).distinct()))))
+    rows = stored(apart(keys, links).drop("first"))
+    others = rows.select("h", F.col("fp").alias("b"), F.col("size").alias("b_size"), F.col("root").alias("b_root"))
+    pairs = rows.withColumnRenamed("fp", "a").join(others, "h").filter("a < b and root != b_root").filter(reach(F.col("size"), F.col("b_size")))
+    return links.union(alike(stored(pairs.select("a", "b").distinct())))
+
+
 def words_of(codes: pa.Array) -> np.ndarray:
     """Wide fingerprints as rows of 64-bit numbers."""
     return np.frombuffer(b"".join(codes.to_pylist()), ">u8").astype(np.uint64).reshape(-1, WIDE)
@@ -412,25 +492,21 @@ def resembling(docs: DataFrame, shingle: int = WIDE_SHINGLE, similarity: float =
     """doc_id, tie, fp, component_id, stays of every row, as ``near_duplicates`` has them.
 
     Rows are linked if the Jaccard ``similarity`` of their sets of word shingles
-    is reached; ``wide_links`` says which are compared. ``fp`` is a 64-bit hash of
-    the wide fingerprint. Texts without a word share a fingerprint; nulls, equal
-    rows, an empty table and other columns are treated alike too.
+    is reached, or if ``wide_links`` takes them for it. ``fp`` is a 64-bit hash of
+    the set. Texts without a word share a fingerprint; nulls, equal rows, an empty
+    table and other columns are treated alike too.
     """
-    rows = stored(wide_fingerprints(docs, shingle))
-
-    def edges(nodes: DataFrame) -> DataFrame:
-        found = stored(wide_links(nodes, similarity))
-        perhaps = found.filter("not sure").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        return found.filter("sure").select("a", "b").union(similar(docs, nodes, perhaps, shingle, similarity))
-
-    return gathered(rows, edges)
+    rows = stored(wide_fingerprints(docs, shingle, similarity))
+    sets = stored(rows.groupBy("fp").agg(*(F.first(x).alias(x) for x in ("code", "print", "size", "keys"))))
+    # Sets of one wide fingerprint hang together by its hash.
+    sure = stored(wide_links(sets.select("code").distinct(), similarity).union(sets.select("fp", "print")))
+    return gathered(rows.select("doc_id", "tie", "fp"), lambda nodes: set_links(sets, sure, similarity, lambda pairs: similar(docs, nodes, pairs, shingle, similarity)))
 
 
 def gathered(rows: DataFrame, links_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Components of ``rows`` (doc_id, tie, fp and maybe code) under the links between their distinct fp."""
+    """Components of ``rows`` (doc_id, tie, fp) under the links between their distinct fp."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")
-    code = [F.first("code").alias("code")] if "code" in rows.columns else []
-    nodes = stored(rows.groupBy("fp").agg(F.min(order).alias("first"), *code))
+    nodes = stored(rows.groupBy("fp").agg(F.min(order).alias("first")))
     roots = components(links_of(nodes))
     rooted = stored(
         nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("root"), "first")
