@@ -391,3 +391,11 @@ def test_license_words_weigh_by_their_count(spark):
     words = {r.passage.split()[0] for r in licenses.passages(df).collect()}
     assert words == {"zebra"}
     assert {r.license for r in licenses.scan(df).collect()} == {"MIT"}
+
+
+def test_quality_takes_one_text_a_document(spark):
+    docs = spark.createDataFrame([(i, f"good prose number {i} " * 5 if i % 2 else f"|| spam {i} ## " * 5) for i in range(40)], "doc_id bigint, text string")
+    ratings = spark.createDataFrame([(i, 2 * (i % 2)) for i in range(40)], "doc_id bigint, grade int")
+    repeated = docs.union(docs.filter("doc_id = 3").crossJoin(spark.range(200)).select("doc_id", "text"))
+    one, many = (quality.fit(d, ratings, 3) for d in (docs, repeated))
+    assert one.score(b"good prose") == many.score(b"good prose")

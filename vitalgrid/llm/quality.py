@@ -128,7 +128,7 @@ def fit(docs: DataFrame, ratings: DataFrame, n_grades: int, most: int = MOST_RAT
     """Fit on up to ``most`` of the ``ratings`` (doc_id, grade 0 .. n_grades - 1) and their documents.
 
     The sample is the ratings of least hash; it is bounded, so it is broadcast to
-    the documents. Features are made on the executors and only they reach the
+    the documents. Of rows that repeat a doc_id the text of least hash counts. Features are made on the executors and only they reach the
     driver. Other grades and null ones are left out; without any rating every
     document gets the same score.
     """
@@ -144,7 +144,11 @@ def fit(docs: DataFrame, ratings: DataFrame, n_grades: int, most: int = MOST_RAT
         F.col("doc_id").alias("_id"), F.col("grade").cast("int").alias("grade")
     )
     sample = ratings.orderBy(F.xxhash64("_id"), "_id", "grade").limit(most)
-    rows = docs.select("doc_id", whole().cast("binary").alias("text")).join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
+    # One text a document, so that rows which repeat an id neither weigh more nor reach the driver.
+    ids = sample.select(F.col("_id").alias("_rated")).distinct()
+    texts = docs.select("doc_id", whole().cast("binary").alias("text")).join(F.broadcast(ids), F.col("doc_id") == F.col("_rated"), "left_semi")
+    texts = texts.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
+    rows = texts.select("doc_id", "least.text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
     got = rows.select("text", "doc_id", "grade").mapInArrow(run, "doc_id bigint, grade int, keys array<int>, shares array<float>")
     got = got.toArrow().sort_by([("doc_id", "ascending"), ("grade", "ascending")]).combine_chunks()
     if not got.num_rows:
