@@ -5,7 +5,7 @@ import pytest
 import check
 import corpus_pipeline
 from vitalgrid.llm import workload
-from vitalgrid.llm.common import discard, table
+from vitalgrid.llm.common import table
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -43,4 +43,3 @@ def test_pipeline_stages(spark):
             assert len({r.text for r in rows}) == len(rows) == docs.select("text").distinct().count()
         docs = spark.createDataFrame(rows, out.schema)
     assert corpus_pipeline.run(spark, FOLDER).count() == docs.count()
-    discard(spark)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import stored
+from vitalgrid.llm.common import release, stored
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -40,7 +40,8 @@ def components(links: DataFrame) -> DataFrame:
             .filter("a != b")
             .distinct()
         )
-        edges = stored(small)
+        last, edges = edges, stored(small)
+        release(last)
         before, state = state, _state(edges)
         if state == before:
             break

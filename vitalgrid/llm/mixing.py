@@ -9,6 +9,8 @@ ever sorted, and a higher budget takes a superset of a lower one.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -76,13 +78,13 @@ def thresholds(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: flo
     return goal.select("source", "source_size", "target", "rounds", "known")
 
 
-def with_copies(docs: DataFrame, cut: DataFrame) -> DataFrame:
-    """The rows with the ``source_size``, ``target`` and ``copies`` that the thresholds give them."""
+def with_copies(docs: DataFrame, cut: DataFrame, most: float) -> DataFrame:
+    """The rows with the ``source_size``, ``target`` and ``copies`` that the thresholds give them, never more than ``most`` rounded up."""
     cut = cut.select(F.col("source").alias("_source"), F.struct("source_size", "target", "rounds", "known").alias("_cut"))
     taken = F.col("_cut.rounds") + (place(F.col("doc_id")) < F.col("_cut.known")).cast("int")
     return (
         docs.join(cut, F.col("source").eqNullSafe(F.col("_source")))
-        .withColumns({"source_size": F.col("_cut.source_size"), "target": F.col("_cut.target"), "copies": taken.cast("int")})
+        .withColumns({"source_size": F.col("_cut.source_size"), "target": F.col("_cut.target"), "copies": F.least(taken, F.lit(math.ceil(most))).cast("int")})
         .drop("_source", "_cut")
     )
 
@@ -98,7 +100,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     """
     docs = docs.select("doc_id", "source", "text")
     return (
-        with_copies(docs, thresholds(docs, weights, share, most))
+        with_copies(docs, thresholds(docs, weights, share, most), most)
         .withColumn("size", word_count(whole()))
         .select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
     )
@@ -106,7 +108,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
 
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """The documents as the mix takes them: rows taken twice come twice, those not taken go."""
-    chosen = with_copies(docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "source"), thresholds(docs, weights, share, most))
+    chosen = with_copies(docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "source"), thresholds(docs, weights, share, most), most)
     return chosen.select("_row", F.explode(F.array_repeat(F.lit(1), F.col("copies")))).select("_row.*")
 
 

@@ -7,26 +7,20 @@ of an index: below it, neighbours in Gray order are gathered in nodes that hold
 the bit pattern their members share. Two nodes whose shared bits already differ
 too often are dropped with all that hangs below; else only the bits that became
 known on the way down are counted and added.
-
-Two bits of 64 is far stricter than a Jaccard similarity of 0.8, where about 15
-of 100 bits differ. ``resembling`` therefore takes fingerprints of 512 bits and
-puts each 16-bit block in front once. Pairs far below the expected distance are
-linked as they are. That only gathers crowds; links between what stays apart come
-from the sets of shingles, exactly: the rarest of two similar sets meet.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import combinations, islice
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import WORD_BYTES, stored, table, whole
+from vitalgrid.llm.common import WORD_BYTES, one_of_each, row_key, stored, table, whole
 from vitalgrid.llm.components import components
 
 SHINGLE = 3  # words
@@ -38,12 +32,6 @@ FANOUT = 8
 PAIRS = 1 << 17  # pairs of nodes compared at once
 SIGN = np.uint64(1 << 63)  # flipped where ranks are signed longs, whose order is then theirs
 PART = 1 << 16  # words whose shingles are counted at once
-WIDE = 8  # words of 64 bits in a wide fingerprint
-WIDE_SHINGLE = 5  # words
-SIMILARITY = 0.8
-SAMPLE = 16  # one text of so many is looked at for usual shingles
-USUAL = 1 << 16  # of which so many are kept
-VOTERS = 1 << 13  # shingles that vote on a wide fingerprint at once
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
@@ -86,115 +74,6 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, tie bigint, fp bigint")
 
 
-def mixed(hashes: np.ndarray, number: int) -> np.ndarray:
-    """Other hashes of the same things, the ``number``-th set of them (the finishing steps of SplitMix64)."""
-    h = hashes + np.uint64(number * 0x9E3779B97F4A7C15 % (1 << 64))
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
-def shingle_hashes(text: bytes, shingle: int = WIDE_SHINGLE) -> np.ndarray:
-    """Hashes of the distinct shingles of a whole text, ascending; fewer words than a shingle form one."""
-    found = (m.group() for m in WORD_BYTES.finditer(text.lower())) if len(text) > PART * 64 else iter(WORD_BYTES.findall(text.lower()))
-    parts, last = [np.zeros(0, np.uint64)], []
-    while part := list(islice(found, PART)):
-        part = last + part
-        rows = zip(*(part[i:] for i in range(shingle)))
-        parts.append(np.array([xxhash.xxh64_intdigest(b" ".join(x), SEED) for x in rows], np.uint64))
-        last = part[-(shingle - 1) :]
-    hashes = np.unique(np.concatenate(parts))
-    if not len(hashes) and last:
-        hashes = np.array([xxhash.xxh64_intdigest(b" ".join(last), SEED)], np.uint64)
-    return hashes
-
-
-def wide_fingerprint(text: bytes, shingle: int = WIDE_SHINGLE) -> bytes:
-    """SimHash of 64 * WIDE bits over the distinct shingles of a whole text, as big-endian words; zeros without a word."""
-    return wide_code(shingle_hashes(text, shingle))
-
-
-def wide_code(hashes: np.ndarray) -> bytes:
-    counts = np.zeros(64 * WIDE, np.int64)
-    for at in range(0, len(hashes), VOTERS):
-        sets = np.stack([mixed(hashes[at : at + VOTERS], number) for number in range(WIDE)], axis=1).astype(">u8")
-        counts += np.unpackbits(sets.view(np.uint8), axis=1).sum(axis=0, dtype=np.int32)
-    return np.packbits(counts * 2 > len(hashes)).tobytes()
-
-
-def sure_distance(similarity: float) -> int:
-    """Bits of a wide fingerprint up to which texts are surely of this Jaccard similarity.
-
-    Three standard deviations below the distance expected of two texts of about one length.
-    """
-    n, p = 64 * WIDE, np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    return int(n * p - 3 * np.sqrt(n * p * (1 - p)))
-
-
-def usual(docs: DataFrame, shingle: int = WIDE_SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Shingle hashes that many texts have, ascending, and their counts in a sample of the texts.
-
-    They only put an order on shingles, so what the sample misses costs time, not links.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text in batch.column(0):
-                yield pa.RecordBatch.from_arrays([pa.array(shingle_hashes(text.as_py(), shingle).view(np.int64))], ["h"])
-
-    sample = docs.filter(F.pmod(F.xxhash64(whole()), F.lit(SAMPLE)) == 0).select(whole().cast("binary").alias("text"))
-    counts = sample.mapInArrow(run, "h bigint").groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    rows = counts.orderBy(F.desc("n"), "h").limit(USUAL).toArrow().combine_chunks()
-    hashes, n = (rows.column(x).to_numpy() for x in ("h", "n"))
-    order = np.argsort(hashes.view(np.uint64))
-    return hashes.view(np.uint64)[order], n[order]
-
-
-def rarest(hashes: np.ndarray, known: tuple[np.ndarray, np.ndarray], similarity: float) -> np.ndarray:
-    """So many of a set's shingles, the least usual first, that any two similar sets have one in common.
-
-    A set of n that reaches the Jaccard similarity s with another shares at least
-    s * n shingles with it, so one of any n - s * n + 1 in an order that holds for
-    all sets: here by count, then hash.
-    """
-    if not len(hashes):
-        return hashes
-    n = np.zeros(len(hashes), np.int64)
-    if len(known[0]):
-        at = np.minimum(np.searchsorted(known[0], hashes), len(known[0]) - 1)
-        n = np.where(known[0][at] == hashes, known[1][at], 0)
-    most = len(hashes) - int(np.ceil(similarity * len(hashes) - 1e-9)) + 1
-    return hashes[np.argsort(n, kind="stable")[:most]]
-
-
-def wide_fingerprints(docs: DataFrame, shingle: int = WIDE_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, tie, fp, code, print, size, keys of every row.
-
-    ``fp`` is a 64-bit hash of the set of shingles, ``size`` their number and
-    ``keys`` the rarest; ``code`` is the wide fingerprint and ``print`` its hash.
-    """
-    known = docs.sparkSession.sparkContext.broadcast(usual(docs, shingle))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fp, codes, prints, sizes, keys = [], [], [], [], []
-            for text in batch.column(2):
-                hashes = shingle_hashes(text.as_py(), shingle)
-                fp.append(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
-                codes.append(wide_code(hashes))
-                prints.append(xxhash.xxh64_intdigest(codes[-1], SEED))
-                sizes.append(len(hashes))
-                keys.append(rarest(hashes, known.value, similarity).view(np.int64))
-            fp, prints = (pa.array(np.array(x, np.uint64).view(np.int64)) for x in (fp, prints))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), fp, pa.array(codes, pa.binary()), prints, pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "tie", "fp", "code", "print", "size", "keys"],
-            )
-
-    rows = docs.select("doc_id", F.xxhash64(whole()).alias("tie"), whole().cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, tie bigint, fp bigint, code binary, print bigint, size int, keys array<bigint>")
-
-
 WIDTH = np.uint64(64 // BLOCKS)
 BLOCK = np.uint64((1 << 64 // BLOCKS) - 1)
 
@@ -363,151 +242,19 @@ def links(prints: DataFrame, most: int = DIFFERENCES) -> DataFrame:
     return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
-def wide_links(codes: DataFrame, similarity: float) -> DataFrame:
-    """a, b (hashes of codes): sure links between ``codes`` (distinct) that share a block.
-
-    Each of the 32 blocks is in front once; a run holds the codes that agree in
-    it. Links connect each code to the first of its set.
-    """
-    surely = sure_distance(similarity)
-
-    def turn_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = words_of(batch.column(0))
-            for word in range(WIDE):
-                for block in range(BLOCKS):
-                    turn = tuple((block + i) % BLOCKS for i in range(BLOCKS))
-                    rank = gray_rank(turned(words[:, word], turn)) ^ SIGN
-                    number = pa.array(np.full(len(rank), word * BLOCKS + block, np.int32))
-                    yield pa.RecordBatch.from_arrays([number, pa.array(rank.view(np.int64)), batch.column(0)], ["turn", "rank", "code"])
-
-    rows = codes.select("code").mapInArrow(turn_all, "turn int, rank bigint, code binary")
-    dealt = rows.repartitionByRange("turn", F.shiftright("rank", 64 - int(WIDTH))).sortWithinPartitions("turn", "rank")
-
-    def out(turns: np.ndarray, fronts: np.ndarray, words: np.ndarray) -> Iterator[pa.RecordBatch]:
-        runs = np.cumsum(np.r_[True, (turns[1:] != turns[:-1]) | (fronts[1:] != fronts[:-1])])
-        many = np.bincount(runs)[runs] > 1
-        words, runs = words[many], runs[many]
-        if not len(words):
-            return
-
-        def named(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-            ends = (np.array([xxhash.xxh64_intdigest(words[i].astype(">u8").tobytes(), SEED) for i in at], np.uint64) for at in (a, b))
-            return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in ends], ["a", "b"])
-
-        index, labels = Index(words, runs), np.arange(len(words))
-        for a, b in index.pairs(surely):
-            labels = joined(labels, a, b)
-        far = np.flatnonzero(labels != np.arange(len(words)))
-        yield named(far, labels[far])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = np.zeros(0, np.int32), np.zeros(0, np.uint64), np.zeros((0, WIDE), np.uint64)
-        for batch in batches:
-            # The front of a Gray rank stands for the front of its code.
-            fronts = (np.asarray(batch.column(1)).view(np.uint64) ^ SIGN) >> (np.uint64(64) - WIDTH)
-            new = np.asarray(batch.column(0)), fronts, words_of(batch.column(2))
-            turns, fronts, words = (np.concatenate(x) for x in zip(kept, new))
-            # The last run may go on in the next batch.
-            cut = len(turns) - int(((turns == turns[-1]) & (fronts == fronts[-1])).sum())
-            kept = turns[cut:], fronts[cut:], words[cut:]
-            if cut:
-                yield from out(turns[:cut], fronts[:cut], words[:cut])
-        yield from out(*kept)
-
-    return dealt.mapInArrow(run, "a bigint, b bigint")
-
-
-def apart(keys: DataFrame, links: DataFrame) -> DataFrame:
-    """The ``keys`` that sets of several components under ``links`` share, with the component as ``root`` and the ``first`` of the key."""
-    roots = components(links)
-    rooted = stored(keys.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "size", "h", F.coalesce("root", "fp").alias("root")))
-    mixed = rooted.groupBy(F.col("h").alias("_h")).agg(
-        F.min("root").alias("least"), F.max("root").alias("most"), F.min(F.struct("fp", "size", "root")).alias("first")
-    )
-    return rooted.join(mixed.filter("least != most"), F.col("h") == F.col("_h")).select("fp", "size", "h", "root", "first")
-
-
-def similar(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The ``pairs`` (a, b: fp of nodes) whose first documents have the Jaccard similarity."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for fp, text in zip(batch.column(0), batch.column(1)):
-                hashes = shingle_hashes(text.as_py(), shingle).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([fp.as_py()]), pa.array([hashes], pa.list_(pa.int64()))], ["fp", "hashes"])
-
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct()
-    wanted = nodes.join(ends, F.col("fp") == F.col("end")).select("fp", F.col("first.doc_id").alias("_id"), F.col("first.tie").alias("_tie"))
-    texts = docs.select("doc_id", whole().cast("binary").alias("text"), F.xxhash64(whole()).alias("tie"))
-    texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie")))
-    sets = texts.select("fp", "text").mapInArrow(run, "fp bigint, hashes array<bigint>")
-    sets = stored(sets.groupBy("fp").agg(F.first("hashes").alias("hashes")))
-    left, right = (sets.select(F.col("fp").alias(f"_{x}"), F.col("hashes").alias(f"{x}_hashes")) for x in "ab")
-    both = pairs.join(left, F.col("a") == F.col("_a")).join(right, F.col("b") == F.col("_b"))
-    common = F.size(F.array_intersect("a_hashes", "b_hashes"))
-    return both.filter(common + 1e-9 >= similarity * (F.size("a_hashes") + F.size("b_hashes") - common)).select("a", "b")
-
-
-def set_links(sets: DataFrame, links: DataFrame, similarity: float, alike: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """a, b: ``links`` and the pairs of ``sets`` (fp, size, keys) that they leave apart and that are ``alike``; none is lost.
-
-    Where a key is shared its first set is compared with the others, then all
-    pairs that are still apart are.
-    """
-    keys = sets.select("fp", "size", F.explode("keys").alias("h"))
-    common = keys.groupBy(F.col("h").alias("_h")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    keys = stored(keys.join(common, F.col("h") == F.col("_h")).select("fp", "size", "h"))
-
-    def reach(x: Column, y: Column) -> Column:
-        return F.least(x, y) + 1e-9 >= similarity * F.greatest(x, y)
-
-    rows = apart(keys, links).filter(F.col("root") != F.col("first.root")).filter(reach(F.col("size"), F.col("first.size")))
-    links = stored(links.union(alike(stored(rows.select(F.col("first.fp").alias("a"), F.col("fp").alias("b")).distinct()))))
-    rows = stored(apart(keys, links).drop("first"))
-    others = rows.select("h", F.col("fp").alias("b"), F.col("size").alias("b_size"), F.col("root").alias("b_root"))
-    pairs = rows.withColumnRenamed("fp", "a").join(others, "h").filter("a < b and root != b_root").filter(reach(F.col("size"), F.col("b_size")))
-    return links.union(alike(stored(pairs.select("a", "b").distinct())))
-
-
-def words_of(codes: pa.Array) -> np.ndarray:
-    """Wide fingerprints as rows of 64-bit numbers."""
-    return np.frombuffer(b"".join(codes.to_pylist()), ">u8").astype(np.uint64).reshape(-1, WIDE)
-
-
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most: int = DIFFERENCES) -> DataFrame:
     """doc_id, tie, fp, component_id, stays of every row.
 
     Rows whose fingerprints differ in up to ``most`` bits are linked; a component
     is what links reach. ``component_id`` is its least doc_id (null if it has
-    none), ``stays`` marks its first row by doc_id (null last), then text hash.
-    Null and empty texts share the fingerprint zero; equal rows stay or go
-    together; an empty table gives no rows; other columns are not looked at.
+    none), ``stays`` marks its first row by doc_id (null last), then text hash;
+    rows equal in both are marked alike. Null and empty texts share the
+    fingerprint zero; an empty table gives no rows; other columns are not looked at.
     """
     rows = stored(fingerprints(docs, shingle))
-    return gathered(rows, lambda nodes: links(nodes.select("fp"), most))
-
-
-def resembling(docs: DataFrame, shingle: int = WIDE_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, tie, fp, component_id, stays of every row, as ``near_duplicates`` has them.
-
-    Rows are linked if the Jaccard ``similarity`` of their sets of word shingles
-    is reached, or if ``wide_links`` takes them for it. ``fp`` is a 64-bit hash of
-    the set. Texts without a word share a fingerprint; nulls, equal rows, an empty
-    table and other columns are treated alike too.
-    """
-    rows = stored(wide_fingerprints(docs, shingle, similarity))
-    sets = stored(rows.groupBy("fp").agg(*(F.first(x).alias(x) for x in ("code", "print", "size", "keys"))))
-    # Sets of one wide fingerprint hang together by its hash.
-    sure = stored(wide_links(sets.select("code").distinct(), similarity).union(sets.select("fp", "print")))
-    return gathered(rows.select("doc_id", "tie", "fp"), lambda nodes: set_links(sets, sure, similarity, lambda pairs: similar(docs, nodes, pairs, shingle, similarity)))
-
-
-def gathered(rows: DataFrame, links_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Components of ``rows`` (doc_id, tie, fp) under the links between their distinct fp."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")
     nodes = stored(rows.groupBy("fp").agg(F.min(order).alias("first")))
-    roots = components(links_of(nodes))
+    roots = components(links(nodes.select("fp"), most))
     rooted = stored(
         nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("root"), "first")
     )
@@ -519,18 +266,9 @@ def gathered(rows: DataFrame, links_of: Callable[[DataFrame], DataFrame]) -> Dat
 
 
 def without_near_duplicates(docs: DataFrame, **how) -> DataFrame:
-    """The documents with one of each component of ``near_duplicates`` left."""
-    return staying(docs, near_duplicates(docs, **how))
-
-
-def without_resembling(docs: DataFrame, **how) -> DataFrame:
-    """The documents with one of each component of ``resembling`` left."""
-    return staying(docs, resembling(docs, **how))
-
-
-def staying(docs: DataFrame, found: DataFrame) -> DataFrame:
-    stay = found.filter("stays").select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"))
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(whole()) == F.col("_tie")), "left_semi")
+    """The documents with one row of each component of ``near_duplicates`` left, also where a row is repeated."""
+    stay = near_duplicates(docs, **how).filter("stays").select(row_key(F.col("tie")).alias("key")).distinct()
+    return one_of_each(docs, row_key(F.xxhash64(whole())), stay)
 
 
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
