@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from vitalgrid.llm import bpe, exact, mixing, quality, simhash
-from vitalgrid.llm.common import discard, shared_folder, table
+from vitalgrid.llm.common import scratch, shared_folder, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,8 +27,8 @@ def no_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: one document of each component of near copies stays; five-word shingles, similarity 0.8 or more."""
-    return simhash.without_resembling(docs, shingle=5, similarity=0.8)
+    """Operator 4: of fingerprints linked within two bits, over three-word shingles, the document with the smallest doc_id stays."""
+    return simhash.without_near_duplicates(docs, shingle=simhash.SHINGLE, most=simhash.DIFFERENCES)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +59,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = f"{shared_folder(spark)}/stage_{uuid.uuid4().hex}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        discard(spark)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
