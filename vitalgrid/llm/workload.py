@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from vitalgrid.llm import bpe, exact, licenses, mixing, quality, rules, simhash, toxicity, warc, wordpiece
+from vitalgrid.llm import bpe, conversations, exact, licenses, mixing, quality, rules, simhash, substrings, toxicity, warc, whitening, wordpiece
 
-MODULES = (wordpiece, mixing, bpe, simhash, toxicity, exact, quality, warc, rules, licenses)
+MODULES = (wordpiece, mixing, bpe, simhash, toxicity, exact, quality, warc, rules, licenses, whitening, conversations, substrings)
 
 
 def all_queries() -> dict:
