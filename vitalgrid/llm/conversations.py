@@ -479,8 +479,8 @@ source AS (
   FROM conversations),
 hashed AS (
   SELECT conv_id, turn, role, text,
-         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(key, ''), x -> ascii(x)::BIGINT)),
-             (c, b) -> xor(t[(xor(c, b) & 255) + 1], c // 256)), 4294967295) % 20 AS fault
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(key, ''), lambda x: ascii(x)::BIGINT)),
+             lambda c, b: xor(t[(xor(c, b) & 255) + 1], c // 256)), 4294967295) % 20 AS fault
   FROM source, crc),
 rows_ AS (
   SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,

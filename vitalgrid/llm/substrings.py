@@ -338,17 +338,17 @@ SQL = {
     "op13_substring_dedup": r"""
 WITH docs AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
-places AS (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS at FROM docs),
-wins AS (SELECT doc_id, at, array_to_string(words[at : at + 19], ' ') AS win FROM places),
+places AS (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS pos FROM docs),
+wins AS (SELECT doc_id, pos, array_to_string(list_slice(words, pos, pos + 19), ' ') AS win FROM places),
 later AS (
-  SELECT doc_id, at FROM (SELECT *, row_number() OVER (PARTITION BY win ORDER BY doc_id, at) AS k FROM wins) WHERE k > 1),
-gone AS (SELECT DISTINCT doc_id, unnest(range(at, at + 20)) AS at FROM later),
-lists AS (SELECT doc_id, list(at) AS gone FROM gone GROUP BY doc_id),
-left_over AS (
-  SELECT doc_id, len(words) AS n, coalesce(len(gone), 0) AS r,
-         CASE WHEN gone IS NULL THEN words
-              ELSE list_filter(list_transform(words, (w, i) -> CASE WHEN list_contains(gone, i) THEN NULL ELSE w END), w -> w IS NOT NULL) END AS kept
-  FROM docs LEFT JOIN lists USING (doc_id))
-SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(r AS BIGINT) AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM left_over
+  SELECT doc_id, pos FROM (SELECT *, row_number() OVER (PARTITION BY win ORDER BY doc_id, pos) AS k FROM wins) WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 20)) AS pos FROM later),
+every AS (SELECT doc_id, generate_subscripts(words, 1) AS pos, unnest(words) AS word FROM docs),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS body, count(*) AS n
+  FROM every ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(body, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
 """
 }
