@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from vitalgrid.operators import digest, raster
+from vitalgrid.operators import digest, raster, warp
 from vitalgrid.plans import rasters
 from vitalgrid.sources import tiles as source
 
@@ -88,9 +88,11 @@ def halved(g):
     return out
 
 
-def test_overviews_inside_and_beyond_a_tile(spark):
+@pytest.mark.parametrize("side,tile_height,tile_width", [(4, 4, 4), (5, 5, 5), (1, 1, 1), (3, 3, 3), (16, 16, 16)])
+def test_overviews_inside_and_beyond_a_tile(spark, side, tile_height, tile_width):
     g = grid(11, 18, 4, 0.4)
-    got = {(r.level, r.row, r.col): r.value for r in raster.overviews(cut(spark, {"g": g}, 4), 4, 4, 4).collect()}
+    g[4:8, 4:8] = ND
+    got = {(r.level, r.row, r.col): r.value for r in raster.overviews(cut(spark, {"g": g}, side), 4, tile_height, tile_width).collect()}
     want, level = {}, g.astype(np.float64)
     for n in range(1, 5):
         level = halved(level)
@@ -113,8 +115,8 @@ def bilinear(g, fr, fc):
 def test_reproject_linear(spark, scale, shift, size):
     g = grid(11, 13, 5, 0.4)
     g[4:8, 4:8] = ND  # a tile that is not there at all
-    axis = raster.linear_axis(size, scale, shift)
-    got = {(r.row, r.col): r.value for r in raster.reproject(cut(spark, {"g": g}, 4), axis, axis, 4, 4).collect()}
+    axis = warp.linear_axis(size, scale, shift)
+    got = {(r.row, r.col): r.value for r in warp.reproject(cut(spark, {"g": g}, 4), axis, axis, 4, 4).collect()}
     want = {}
     for r in range(size):
         for c in range(size):
@@ -127,14 +129,14 @@ def test_reproject_linear(spark, scale, shift, size):
 
 def test_reproject_mercator(spark):
     g = grid(9, 10, 6, 0.2)
-    rows_axis, cols_axis, m = raster.mercator_axes(10.0, 60.0, 0.5, 10, 9)
-    got = {(r.row, r.col): r.value for r in raster.reproject(cut(spark, {"g": g}, 4), rows_axis, cols_axis, 4, 4).collect()}
+    rows_axis, cols_axis, m = warp.mercator_axes(10.0, 60.0, 0.5, 10, 9)
+    got = {(r.row, r.col): r.value for r in warp.reproject(cut(spark, {"g": g}, 4), rows_axis, cols_axis, 4, 4).collect()}
     want = {}
     for r in range(rows_axis.size):
         y = m["top"] - (r + 0.5) * m["cell"]
-        lat = math.degrees(2 * math.atan(math.exp(y / raster.EARTH)) - math.pi / 2)
+        lat = math.degrees(2 * math.atan(math.exp(y / warp.EARTH)) - math.pi / 2)
         for c in range(cols_axis.size):
-            lon = math.degrees((m["left"] + (c + 0.5) * m["cell"]) / raster.EARTH)
+            lon = math.degrees((m["left"] + (c + 0.5) * m["cell"]) / warp.EARTH)
             v = bilinear(g, (60.0 - lat) / 0.5 - 0.5, (lon - 10.0) / 0.5 - 0.5)
             if v is not None:
                 want[r, c] = v
@@ -142,6 +144,70 @@ def test_reproject_mercator(spark):
     assert all(abs(got[k] - want[k]) < 1e-6 for k in want)
 
 
+LAID = "raster_id string, lat_top double, lon_left double, degrees double, tile_height int, tile_width int"
+
+
+@pytest.mark.parametrize("at_once", [1 << 20, 1])
+def test_rasters_of_any_extent_meet_on_one_grid(spark, monkeypatch, at_once):
+    monkeypatch.setattr(warp, "CELLS_AT_ONCE", at_once)
+    grids = {"a": grid(9, 14, 1, 0.2), "b": grid(11, 6, 2, 0.2), "c": grid(5, 5, 3)}
+    lies = {"a": (61.0, 10.0, 0.5), "b": (60.2, 13.1, 0.7), "c": (-84.0, 178.5, 0.6)}  # c runs over the edges of the world
+    tiles = cut(spark, {"a": grids["a"]}, 4).unionByName(cut(spark, {"b": grids["b"], "c": grids["c"]}, 3))
+    meta = spark.createDataFrame([(k, *v, 4 if k == "a" else 3, 4 if k == "a" else 3) for k, v in lies.items()], LAID)
+    cell, side = 41_000.0, 7
+    rows_axis, cols_axis = warp.world_axes(cell)
+    made = warp.warp(warp.placed(tiles, meta), rows_axis, cols_axis, side)
+    got = {(t.raster_id, t.tile_row * side + k // t.width, t.tile_col * side + k % t.width): v for t in made.collect() for k, v in enumerate(t["values"]) if v != ND}
+    edge, want = math.pi * warp.EARTH, {}
+    for name, (top, left, deg) in lies.items():
+        for r in range(rows_axis.size):
+            lat = math.degrees(2 * math.atan(math.exp((edge - (r + 0.5) * cell) / warp.EARTH)) - math.pi / 2)
+            fr = (top - lat) / deg - 0.5
+            for c in range(cols_axis.size) if -1 < fr < grids[name].shape[0] else ():
+                fc = (math.degrees((-edge + (c + 0.5) * cell) / warp.EARTH) - left) / deg - 0.5
+                v = bilinear(grids[name], fr, fc)
+                if v is not None:
+                    want[name, r, c] = v
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)
+    laid = {}
+    for (_, r, c), v in sorted(want.items()):  # the later name wins
+        laid[r, c] = v
+    cells = rasters.with_overviews(rasters.world_mosaic(tiles, meta, cell, side), 1, side).collect()
+    base = {(x.row, x.col): x.value for x in cells if x.level == 0}
+    assert base.keys() == laid.keys() and all(abs(base[k] - laid[k]) < 1e-5 for k in laid)
+    blocks = {}
+    for (r, c), v in base.items():
+        blocks.setdefault((r // 2, c // 2), []).append(v)
+    half = {(x.row, x.col): x.value for x in cells if x.level == 1}
+    assert half.keys() == blocks.keys() and all(abs(half[k] - sum(v) / len(v)) < 1e-9 for k, v in blocks.items())
+
+
+def test_a_raster_without_georeference_fails(spark):
+    meta = spark.createDataFrame([("other", 1.0, 1.0, 1.0, 4, 4)], LAID)
+    with pytest.raises(Exception, match="no georeference for raster g"):
+        warp.placed(cut(spark, {"g": grid(4, 4, 1)}, 4), meta).collect()
+
+
+def test_mosaic_of_one_place_that_very_many_cover(spark):
+    grids = {f"{i:03}": grid(3 + i % 2, 4 - i % 3, i, 0.9) for i in range(200)}
+    want = np.full((4, 4), ND, np.float32)
+    for name in sorted(grids):
+        h, w = grids[name].shape
+        want[:h, :w] = np.where(grids[name] != ND, grids[name], want[:h, :w])
+    df = cut(spark, grids, 4).withColumnRenamed("raster_id", "filename")
+    nulls = spark.createDataFrame([("zzz", 1, 0, 0, 4, 4, ND, [None] * 16), ("zzz", 1, 5, 5, 4, 4, ND, [None] * 16)], source.TILE)
+    for parts in (1, 9):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            (tile,) = rasters.year_mosaic(df.unionByName(nulls.withColumnRenamed("raster_id", "filename"))).collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 8)
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        assert (np.float32(tile["values"]).reshape(tile.height, tile.width) == want[: tile.height, : tile.width]).all()
+    assert rasters.year_mosaic(df.limit(0)).count() == 0
+
+
 def test_cells_to_tiles(spark):
     g = grid(8, 8, 7)
     df = cut(spark, {"g": g}, 4)

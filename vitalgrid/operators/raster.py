@@ -1,20 +1,20 @@
-"""Raster operators on tile tables: totals, mosaic, overviews, reprojection.
+"""Raster operators on tile tables: totals, mosaic, overviews.
 
-Work stays on tiles where a result needs one tile only, and moves just tile
-edges or contested tiles where it needs more. A raster is never one partition.
+Totals stay inside the scan stage. Mosaics and overviews move whole tiles or
+pieces of them and lay them together with numpy, one tile in memory at a time.
+A raster is never one partition.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitalgrid.refdata import NODATA
-from vitalgrid.session import materialise
 from vitalgrid.sources.tiles import cells
 
 TILE_KEY = ["raster_id", "tile_row", "tile_col"]
@@ -50,12 +50,6 @@ def masked_sum(tiles: DataFrame, keys: list[str] | None = None, nodata: float |
 # --- mosaic -----------------------------------------------------------------------
 
 
-def _contested(tiles: DataFrame) -> DataFrame:
-    """Positions covered by more than one input tile."""
-    counted = tiles.groupBy("tile_row", "tile_col").agg(F.count("*").alias("_n"))
-    return counted.where(F.col("_n") > 1).select("tile_row", "tile_col")
-
-
 def mosaic_cells(
     tiles: DataFrame, order: str, tile_height: int, tile_width: int, nodata: float = NODATA
 ) -> DataFrame:
@@ -70,322 +64,184 @@ def mosaic_cells(
 
 
 def mosaic(tiles: DataFrame, order: str, nodata: float = NODATA) -> DataFrame:
-    """The mosaic as tiles. Tiles with one owner pass through untouched.
-
-    Only contested positions are taken apart into cells and put together again;
-    a rebuilt group is one tile, so its size is that of a tile.
-    """
-    contested = _contested(tiles)
-    place = ["tile_row", "tile_col"]
-    out = [*place, "width", "height", "values"]
-    single = tiles.join(contested, place, "left_anti").select(*out)
-    shared = tiles.join(contested, place, "left_semi").select(
-        *out[:-1], order, F.posexplode("values").alias("_k", "value")
-    )
-    rank = F.when(_valid(F.col("value"), nodata), F.col(order))
-    per_cell = shared.groupBy(*place, "_k").agg(
-        F.coalesce(F.max_by("value", rank), F.lit(nodata).cast("float")).alias("value"),
-        F.max("width").alias("width"),
-        F.max("height").alias("height"),
-    )
-    rebuilt = per_cell.groupBy(*place).agg(
-        F.max("width").alias("width"),
-        F.max("height").alias("height"),
-        F.array_sort(F.collect_list(F.struct("_k", "value"))).alias("_cells"),
-    ).select(*out[:-1], F.col("_cells.value").alias("values"))
-    return single.unionByName(rebuilt)
-
-
-# --- overviews --------------------------------------------------------------------
-
-
-def _halved(values: Column, width: Column, height: Column, nodata: float) -> Column:
-    """Mean of the valid cells of every 2x2 block, NoData where there is none."""
-    out_w = F.ceil(width / 2).cast("int")
-    out_h = F.ceil(height / 2).cast("int")
-
-    def block(k: Column) -> Column:
-        row, col = F.floor(k / out_w).cast("int") * 2, (k % out_w) * 2
-
-        def at(dr: int, dc: int) -> Column:
-            inside = (row + dr < height) & (col + dc < width)
-            return F.when(inside, F.get(values, (row + dr) * width + col + dc))
-
-        four = F.filter(F.array(at(0, 0), at(0, 1), at(1, 0), at(1, 1)), lambda v: _valid(v, nodata))
-        start = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n"))
-        return F.aggregate(
-            four,
-            start,
-            lambda a, v: F.struct((a["s"] + v.cast("double")).alias("s"), (a["n"] + 1).alias("n")),
-            lambda a: F.when(a["n"] > 0, a["s"] / a["n"]).otherwise(F.lit(nodata)),
-        )
+    """The mosaic as tiles (tile_row, tile_col, width, height, values); a place without a valid cell has none.
 
-    return F.transform(F.sequence(F.lit(0), out_w * out_h - 1), block)
-
-
-def levels_in_tile(tile_height: int, tile_width: int) -> int:
-    """How often a tile of this size can be halved without crossing its border."""
-    n = 0
-    while tile_height % 2 == 0 and tile_width % 2 == 0:
-        tile_height, tile_width, n = tile_height // 2, tile_width // 2, n + 1
-    return n
-
-
-def overview_tiles(
-    tiles: DataFrame, levels: int, tile_height: int, tile_width: int, nodata: float = NODATA
-) -> DataFrame:
-    """Overview levels 1..levels, each averaged from the one before, as tiles.
-
-    Blocks do not cross tile borders as long as the tile size stays even, so
-    every level comes out of one pass over the tiles without a shuffle.
+    All inputs use one tile grid. The tiles of a place are laid over each other
+    in ``order``, the greatest last, while they pass through a task. They are
+    dealt by range of place and order, so that a place which very many inputs
+    cover is spread; what the first and the last place of a task come to, two
+    tiles a task, is laid together in a second step.
     """
-    if levels > levels_in_tile(tile_height, tile_width):
-        raise ValueError(f"{levels} levels cross the border of a {tile_height}x{tile_width} tile")
-    current = tiles.select(
-        "raster_id", "tile_row", "tile_col",
-        F.col("width").alias("w0"), F.col("height").alias("h0"), F.col("values").alias("v0"),
+    kind = tiles.schema[order].dataType.simpleString()
+    own = tiles.where(F.exists("values", lambda v: _valid(v, nodata))).select(
+        "tile_row", "tile_col", F.col(order).alias("_order"), "width", "height", F.col("values").cast("array<float>").alias("values")
     )
-    for n in range(1, levels + 1):
-        w, h, v = F.col(f"w{n - 1}"), F.col(f"h{n - 1}"), F.col(f"v{n - 1}")
-        current = current.withColumns(
-            {
-                f"w{n}": F.ceil(w / 2).cast("int"),
-                f"h{n}": F.ceil(h / 2).cast("int"),
-                f"v{n}": _halved(v, w, h, nodata),
-            }
+    place = ["tile_row", "tile_col", "_order"]
+    schema = f"tile_row int, tile_col int, _order {kind}, width int, height int, values array<float>, _cut boolean"
+
+    def laid(dealt: DataFrame) -> DataFrame:
+        return dealt.sortWithinPartitions(*place).mapInArrow(lambda batches: _laid(batches, nodata), schema)
+
+    first = laid(own.repartitionByRange(*place))
+    cut = laid(first.where("_cut").drop("_cut").repartition("tile_row", "tile_col"))
+    return first.where("not _cut").unionByName(cut).select("tile_row", "tile_col", "width", "height", "values")
+
+
+def _laid(batches: Iterator[pa.RecordBatch], nodata: float) -> Iterator[pa.RecordBatch]:
+    """One tile for each place of a sorted stream of tiles; ``_cut`` marks the first and the last."""
+    at = order = grid = kind = None
+    cut, done = True, []
+
+    def out() -> pa.RecordBatch:
+        rows, cols, orders, grids, cuts = zip(*done)
+        lists = [g.ravel() for g in grids]
+        offsets = np.cumsum([0] + [len(x) for x in lists]).astype(np.int32)
+        sizes = [pa.array([g.shape[i] for g in grids], pa.int32()) for i in (1, 0)]
+        values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(lists)))
+        done.clear()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(rows, pa.int32()), pa.array(cols, pa.int32()), pa.array(orders, kind), *sizes, values, pa.array(cuts)],
+            ["tile_row", "tile_col", "_order", "width", "height", "values", "_cut"],
         )
-    made = [
-        F.struct(
-            F.lit(n).alias("level"),
-            F.col(f"w{n}").alias("width"),
-            F.col(f"h{n}").alias("height"),
-            F.col(f"v{n}").alias("values"),
-        )
-        for n in range(1, levels + 1)
-    ]
-    return current.select(*TILE_KEY, F.inline(F.array(*made)))
-
-
-def overview_cells(level_cells: DataFrame) -> DataFrame:
-    """The next coarser level of a cell table (raster_id, row, col, value)."""
-    half = [F.floor(F.col(c) / 2).cast("int").alias(c) for c in ("row", "col")]
-    return (
-        level_cells.select("raster_id", *half, "value")
-        .groupBy("raster_id", "row", "col")
-        .agg(F.avg(F.col("value").cast("double")).alias("value"))
-    )
 
+    for batch in batches:
+        kind = batch.schema.field(2).type
+        columns = [batch.column(i).to_pylist() for i in range(5)]
+        lists = batch.column(5)
+        for row, col, name, width, height, values in zip(*columns, lists):
+            tile = values.values.fill_null(nodata).to_numpy(zero_copy_only=False).reshape(height, width)
+            if at != (row, col):
+                if at is not None:
+                    done.append((*at, order, grid, cut))
+                    cut = False
+                at, grid = (row, col), np.full((height, width), nodata, np.float32)
+            if grid.shape[0] < height or grid.shape[1] < width:
+                larger = np.full(np.maximum(grid.shape, tile.shape), nodata, np.float32)
+                larger[: grid.shape[0], : grid.shape[1]] = grid
+                grid = larger
+            under = grid[:height, :width]
+            np.copyto(under, tile, where=tile.astype(np.float64) != nodata)
+            order = name
+        if done:
+            yield out()
+    if at is not None:
+        done.append((*at, order, grid, True))
+        yield out()
 
-def overviews(
-    tiles: DataFrame, levels: int, tile_height: int, tile_width: int, nodata: float = NODATA
-) -> DataFrame:
-    """Valid cells (raster_id, level, row, col, value) of every overview level.
-
-    Levels inside a tile need no shuffle. Deeper ones work on what is left, at
-    most one cell per tile; each is written out before the next builds on it.
-    """
-    inner = min(levels, levels_in_tile(tile_height, tile_width))
-    if inner == 0:
-        raise ValueError(f"tile size {tile_height}x{tile_width} is odd; no level fits inside a tile")
-    made = overview_tiles(tiles, inner, tile_height, tile_width, nodata)
-    exploded = made.select(
-        "raster_id", "level", "tile_row", "tile_col", "width",
-        F.posexplode("values").alias("_k", "value"),
-    ).where(_valid(F.col("value"), nodata))
-    scale = F.pow(F.lit(2), F.col("level"))
-    out = exploded.select(
-        "raster_id", "level",
-        (F.col("tile_row") * (tile_height / scale) + F.floor(F.col("_k") / F.col("width"))).cast("int").alias("row"),
-        (F.col("tile_col") * (tile_width / scale) + F.col("_k") % F.col("width")).cast("int").alias("col"),
-        "value",
-    )
-    if levels == inner:
-        return out
-    out, _ = materialise(out)
-    below = out.where(F.col("level") == inner).drop("level")
-    for n in range(inner + 1, levels + 1):
-        below, _ = materialise(overview_cells(below))
-        out = out.unionByName(below.withColumn("level", F.lit(n)).select(*out.columns))
-    return out
 
+# --- overviews --------------------------------------------------------------------
 
-# --- reprojection -----------------------------------------------------------------
+PIECE = "tile_row int, tile_col int, top int, left int, height int, width int, sums binary, counts binary"
 
 
-@dataclass(frozen=True)
-class Axis:
-    """One axis of a resampling: target index to fractional source index and back.
+def _pieces(tiles: DataFrame, tile_height: int, tile_width: int, nodata: float, id_type: str) -> DataFrame:
+    """What each tile gives to the next coarser level: sums and counts of its part of every 2x2 block.
 
-    Both maps increase. Index 0 is the centre of the first cell.
+    Blocks that a tile border cuts are given by several tiles and add up. A tile
+    gives to one coarser tile only, a quarter of its size.
     """
 
-    to_source: Callable[[Column], Column]
-    to_target: Callable[[Column], Column]
-    size: int
-
-
-def linear_axis(size: int, scale: float = 1.0, shift: float = 0.0) -> Axis:
-    """source = target * scale + shift."""
-    return Axis(lambda t: t * F.lit(scale) + F.lit(shift), lambda s: (s - F.lit(shift)) / F.lit(scale), size)
-
-
-EARTH = 6378137.0  # radius of the Web Mercator sphere, metres
-
-
-def mercator_axes(
-    lon_left: float, lat_top: float, degrees: float, width: int, height: int
-) -> tuple[Axis, Axis, dict[str, float]]:
-    """Row and column axes from a north-up degree grid to a Web Mercator grid.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for name, row, col, width, height, values in zip(*(batch.column(i).to_pylist() for i in range(5)), batch.column(5)):
+                nulls = values.values.is_null().to_numpy(zero_copy_only=False)
+                cells = values.values.fill_null(0).to_numpy(zero_copy_only=False).astype(np.float64).reshape(height, width)
+                valid = ~nulls.reshape(height, width) & (cells != nodata)
+                row0, col0 = row * tile_height, col * tile_width
+                # Start and end at whole blocks.
+                pad = ((row0 % 2, (row0 + height) % 2), (col0 % 2, (col0 + width) % 2))
+                shape = (height + sum(pad[0])) // 2, 2, (width + sum(pad[1])) // 2, 2
+                sums = np.pad(np.where(valid, cells, 0.0), pad).reshape(shape).sum(axis=(1, 3))
+                counts = np.pad(valid, pad).reshape(shape).sum(axis=(1, 3), dtype=np.uint8)
+                if counts.any():
+                    up, back = row // 2, col // 2
+                    made.append((name, up, back, row0 // 2 - up * tile_height, col0 // 2 - back * tile_width, *counts.shape, sums.tobytes(), counts.tobytes()))
+            if made:
+                columns = list(zip(*made))
+                ints = [pa.array(c, pa.int32()) for c in columns[1:7]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(columns[0], batch.schema.field(0).type), *ints, pa.array(columns[7], pa.binary()), pa.array(columns[8], pa.binary())],
+                    ["raster_id", "tile_row", "tile_col", "top", "left", "height", "width", "sums", "counts"],
+                )
+
+    own = tiles.select("raster_id", "tile_row", "tile_col", "width", "height", "values")
+    return own.mapInArrow(run, f"raster_id {id_type}, {PIECE}")
+
+
+def _joined_pieces(pieces: DataFrame, tile_height: int, tile_width: int, nodata: float, id_type: str) -> DataFrame:
+    """The tiles that pieces make up; a tile reaches as far as what lies below it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = sums = counts = None
+        done, extent, kind = [], [0, 0], None
+
+        def finished() -> tuple:
+            h, w = extent
+            return (*at, w, h, np.where(counts > 0, sums / np.maximum(counts, 1), nodata)[:h, :w].ravel())
+
+        def out() -> pa.RecordBatch:
+            columns = list(zip(*done))
+            offsets = np.cumsum([0] + [len(x) for x in columns[5]]).astype(np.int32)
+            values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(columns[5])))
+            done.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(columns[0], kind), *(pa.array(c, pa.int32()) for c in columns[1:5]), values],
+                ["raster_id", "tile_row", "tile_col", "width", "height", "values"],
+            )
 
-    The target has square cells, sized so that its diagonal holds as many cells
-    as that of the source.
+        for batch in batches:
+            kind = batch.schema.field(0).type
+            for name, row, col, top, left, h, w, s, n in zip(*(batch.column(i).to_pylist() for i in range(9))):
+                if at != (name, row, col):
+                    if at is not None:
+                        done.append(finished())
+                    at, extent = (name, row, col), [0, 0]
+                    sums, counts = np.zeros((tile_height, tile_width)), np.zeros((tile_height, tile_width), np.uint8)
+                part = slice(top, top + h), slice(left, left + w)
+                sums[part] += np.frombuffer(s).reshape(h, w)
+                counts[part] += np.frombuffer(n, np.uint8).reshape(h, w)
+                extent = [max(extent[0], top + h), max(extent[1], left + w)]
+            if done:
+                yield out()
+        if at is not None:
+            done.append(finished())
+            yield out()
+
+    dealt = pieces.repartition(*TILE_KEY).sortWithinPartitions(*TILE_KEY, "top", "left")
+    return dealt.mapInArrow(run, f"raster_id {id_type}, tile_row int, tile_col int, width int, height int, values array<double>")
+
+
+def overview_tiles(tiles: DataFrame, levels: int, tile_height: int, tile_width: int, nodata: float = NODATA) -> DataFrame:
+    """Overview levels 1..levels as tiles of the same nominal size, each the mean of the valid cells of 2x2 blocks of the level before.
+
+    Tiles may have any size, odd ones and strips too. The exchange of a level
+    carries a quarter of the cells before it and is read again, not made again,
+    by the deeper levels; nothing is written in between.
     """
+    id_type = tiles.schema["raster_id"].dataType.simpleString()
+    out, current = None, tiles
+    for level in range(1, levels + 1):
+        pieces = _pieces(current, tile_height, tile_width, nodata, id_type)
+        current = _joined_pieces(pieces, tile_height, tile_width, nodata, id_type)
+        made = current.select("raster_id", F.lit(level).alias("level"), *current.columns[1:])
+        out = made if out is None else out.unionByName(made)
+    return out
 
-    def y_of(lat: float) -> float:
-        return EARTH * math.log(math.tan(math.pi / 4 + math.radians(lat) / 2))
-
-    lat_top, lat_bottom = min(lat_top, 89.0), max(lat_top - height * degrees, -89.0)
-    left = EARTH * math.radians(lon_left)
-    span_x = EARTH * math.radians(width * degrees)
-    top = y_of(lat_top)
-    span_y = top - y_of(lat_bottom)
-    cell = math.hypot(span_x, span_y) / math.hypot(width, height)
-    lat0 = lat_top
-
-    def row_source(t: Column) -> Column:
-        y = F.lit(top) - (t + 0.5) * F.lit(cell)
-        lat = F.degrees(F.lit(2.0) * F.atan(F.exp(y / F.lit(EARTH))) - F.lit(math.pi / 2))
-        return (F.lit(lat0) - lat) / F.lit(degrees) - 0.5
-
-    def row_target(s: Column) -> Column:
-        lat = F.least(F.greatest(F.lit(lat0) - (s + 0.5) * F.lit(degrees), F.lit(-89.0)), F.lit(89.0))
-        y = F.lit(EARTH) * F.log(F.tan(F.lit(math.pi / 4) + F.radians(lat) / 2))
-        return (F.lit(top) - y) / F.lit(cell) - 0.5
-
-    per_cell = EARTH * math.radians(degrees)
-    rows = Axis(row_source, row_target, max(1, math.ceil(span_y / cell - 1e-9)))
-    cols = Axis(
-        lambda t: (t + 0.5) * F.lit(cell / per_cell) - 0.5,
-        lambda s: (s + 0.5) * F.lit(per_cell / cell) - 0.5,
-        max(1, math.ceil(span_x / cell - 1e-9)),
-    )
-    return rows, cols, {"left": left, "top": top, "cell": cell}
-
-
-def _strips(tiles: DataFrame, nodata: float) -> DataFrame:
-    """The first row, first column and first cell of every tile, addressed to the
-    tile above, to the left and above left. Strips without a valid cell stay home."""
-    w, h, values = F.col("width"), F.col("height"), F.col("values")
-    top = F.slice(values, F.lit(1), w)
-    left = F.transform(F.sequence(F.lit(0), h - 1), lambda i: F.get(values, i * w))
-
-    def sent(side: str, up: int, back: int, strip: Column) -> Column:
-        return F.struct(
-            (F.col("tile_row") - up).alias("tile_row"),
-            (F.col("tile_col") - back).alias("tile_col"),
-            F.lit(side).alias("side"),
-            strip.alias("strip"),
-        )
 
-    edges = tiles.select(
-        "raster_id",
-        F.inline(
-            F.array(
-                sent("below", 1, 0, top),
-                sent("right", 0, 1, left),
-                sent("corner", 1, 1, F.slice(values, 1, 1)),
-            )
-        ),
-    ).where(F.exists("strip", lambda v: _valid(v, nodata)))
-    return edges.groupBy(*TILE_KEY).agg(
-        *[F.max(F.when(F.col("side") == s, F.col("strip"))).alias(s) for s in ("below", "right", "corner")]
+def overviews(tiles: DataFrame, levels: int, tile_height: int, tile_width: int, nodata: float = NODATA) -> DataFrame:
+    """Valid cells (raster_id, level, row, col, value) of every overview level."""
+    made = overview_tiles(tiles, levels, tile_height, tile_width, nodata)
+    exploded = made.select("raster_id", "level", "tile_row", "tile_col", "width", F.posexplode("values").alias("_k", "value"))
+    return exploded.where(_valid(F.col("value"), nodata)).select(
+        "raster_id", "level",
+        (F.col("tile_row") * tile_height + F.floor(F.col("_k") / F.col("width"))).cast("int").alias("row"),
+        (F.col("tile_col") * tile_width + F.col("_k") % F.col("width")).cast("int").alias("col"),
+        "value",
     )
 
 
-def reproject(
-    tiles: DataFrame, rows: Axis, cols: Axis, tile_height: int, tile_width: int, nodata: float = NODATA
-) -> DataFrame:
-    """Bilinear resampling onto another grid: cells (raster_id, row, col, value).
-
-    A target cell lies between four source centres and is the weighted mean of
-    the valid ones, the weights scaled to one; without any it is absent. The
-    tile that holds the upper left centre computes it, given the first row and
-    column of its neighbours. So the shuffle moves whole tiles once and edge
-    strips, never single cells.
-    """
-    nominal_h, nominal_w = F.lit(tile_height), F.lit(tile_width)
-    joined = tiles.select(*TILE_KEY, "width", "height", "values").join(
-        _strips(tiles, nodata), TILE_KEY, "full_outer"
-    )
-    w, h = F.col("width"), F.col("height")
-    stride = tile_width + 1
-
-    def padded(k: Column) -> Column:
-        i, j = F.floor(k / stride).cast("int"), (k % stride).cast("int")
-        own = F.when((i < h) & (j < w), F.get(F.col("values"), i * w + j))
-        v = (
-            F.when((i < nominal_h) & (j < nominal_w), own)
-            .when(j < nominal_w, F.get(F.col("below"), j))
-            .when(i < nominal_h, F.get(F.col("right"), i))
-            .otherwise(F.get(F.col("corner"), F.lit(0)))
-        )
-        return F.when(_valid(v, nodata), v.cast("double"))
-
-    def targets(axis: Axis, first: Column, n: int) -> Column:
-        """Target indices whose source index falls into [first, first + n)."""
-        low = F.floor(axis.to_target(first.cast("double"))) - 1
-        high = F.ceil(axis.to_target((first + n).cast("double"))) + 1
-        placed = F.transform(
-            F.sequence(low.cast("int"), F.greatest(low, high).cast("int")),
-            lambda t: F.struct(t.alias("t"), axis.to_source(t.cast("double")).alias("s")),
-        )
-        inside = F.filter(
-            placed,
-            lambda p: (p["t"] >= 0) & (p["t"] < axis.size)
-            & (F.floor(p["s"]) >= first) & (F.floor(p["s"]) < first + n),
-        )
-        return F.transform(
-            inside,
-            lambda p: F.struct(
-                p["t"].alias("t"),
-                (F.floor(p["s"]) - first).cast("int").alias("i"),
-                (p["s"] - F.floor(p["s"])).alias("f"),
-            ),
-        )
-
-    prepared = joined.select(
-        "raster_id",
-        F.transform(F.sequence(F.lit(0), F.lit((tile_height + 1) * stride - 1)), padded).alias("_pad"),
-        targets(rows, F.col("tile_row") * tile_height, tile_height).alias("_rows"),
-        targets(cols, F.col("tile_col") * tile_width, tile_width).alias("_cols"),
-    )
-    pad = F.col("_pad")
-
-    def blended(r: Column, c: Column) -> Column:
-        base = r["i"] * stride + c["i"]
-        corners = [
-            (F.get(pad, base), (1 - r["f"]) * (1 - c["f"])),
-            (F.get(pad, base + 1), (1 - r["f"]) * c["f"]),
-            (F.get(pad, base + stride), r["f"] * (1 - c["f"])),
-            (F.get(pad, base + stride + 1), r["f"] * c["f"]),
-        ]
-        top = sum((F.coalesce(v * wt, F.lit(0.0)) for v, wt in corners[1:]), F.coalesce(corners[0][0] * corners[0][1], F.lit(0.0)))
-        weight = sum(
-            (F.when(v.isNotNull(), wt).otherwise(F.lit(0.0)) for v, wt in corners[1:]),
-            F.when(corners[0][0].isNotNull(), corners[0][1]).otherwise(F.lit(0.0)),
-        )
-        return F.when(weight > 0, top / weight)
-
-    grid = F.flatten(
-        F.transform(
-            "_rows",
-            lambda r: F.transform(
-                F.col("_cols"),
-                lambda c: F.struct(r["t"].alias("row"), c["t"].alias("col"), blended(r, c).alias("value")),
-            ),
-        )
-    )
-    return prepared.select("raster_id", F.inline(grid)).where(F.col("value").isNotNull())
+# --- cells ------------------------------------------------------------------------
 
 
 def cells_to_tiles(

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from vitalgrid.functions import files
 from vitalgrid.operators import catalog as cat
-from vitalgrid.operators import merge, pick, raster
+from vitalgrid.operators import merge, pick, raster, warp
 from vitalgrid.refdata import NODATA
-from vitalgrid.sources.tiles import band
+from vitalgrid.sources.tiles import band, cells
 
 
 def store(
@@ -49,6 +49,26 @@ def year_mosaic(tiles: DataFrame, nodata: float = NODATA) -> DataFrame:
     return raster.mosaic(tiles, "filename", nodata)
 
 
+def world_mosaic(tiles: DataFrame, meta: DataFrame, cell: float, side: int, nodata: float = NODATA) -> DataFrame:
+    """The mosaic of rasters of any place, extent and cell size on the Web Mercator grid of the world.
+
+    ``tiles`` are those of ``raster_id`` (the file name) in degrees, ``meta`` says
+    how each raster lies; ``cell`` is the size of a target cell in metres, ``side``
+    the cells of a target tile.
+    """
+    rows, cols = warp.world_axes(cell)
+    warped = warp.warp(warp.placed(tiles, meta), rows, cols, side, nodata)
+    return raster.mosaic(warped, "raster_id", nodata)
+
+
+def with_overviews(mosaic_tiles: DataFrame, levels: int, side: int, nodata: float = NODATA) -> DataFrame:
+    """Valid cells (level, row, col, value) of a mosaic, level 0, and of its overviews."""
+    named = mosaic_tiles.withColumn("raster_id", F.lit("combined"))
+    base = cells(mosaic_tiles, side, side, nodata).select(F.lit(0).alias("level"), "row", "col", F.col("value").cast("double").alias("value"))
+    coarser = raster.overviews(named, levels, side, side, nodata).drop("raster_id")
+    return base.withColumns({"row": F.col("row").cast("int"), "col": F.col("col").cast("int")}).unionByName(coarser)
+
+
 def mosaic_total(mosaic_tiles: DataFrame, nodata: float = NODATA) -> DataFrame:
     """Total of a mosaic. It is taken on resampled cells and so differs from the
     sum of the raw totals."""
