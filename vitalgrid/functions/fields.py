@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 from vitalgrid.functions import clean
 
+# Up to so many fields are looked up one by one in the parsed record; more come out of its text in one pass.
+FEW = 5
+
 
 def once(df: DataFrame, *columns: Column) -> DataFrame:
     """Add columns that are computed a single time per row.
@@ -97,6 +100,8 @@ def unpack(df: DataFrame, rec: str, fields: dict[str, list[str]]) -> tuple[DataF
         made[name] = Field(rec, list(wanted), columns)
         spellings += wanted
     aliases = [c for f in made.values() for c in f.columns]
+    if len(spellings) <= FEW:
+        return df.select("*", *[F.try_variant_get(rec, f"$.{s}", "string").alias(a) for s, a in zip(spellings, aliases)]), made
     whole = F.try_variant_get(rec, "$", "string")
     return df.select("*", F.json_tuple(whole, *spellings).alias(*aliases)), made
 

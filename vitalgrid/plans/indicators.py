@@ -33,13 +33,27 @@ def who_rows(
     countries: list[str] = (),
     years: tuple[int, int] = INDICATOR_YEARS,
     names: dict[str, str] = WHO_INDICATORS,
+    strict: bool = False,
 ) -> DataFrame:
     """Rows of the WHO series in delivery order (``_page``, ``_pos``); keys may repeat.
 
+    Requests that broke off give no rows (``who_outcomes`` names them); ``strict``
+    fails the load instead.
+    """
+    chain = payloads.odata_chain(_requested(pages, list(countries), names), REQUEST)
+    return who_from(payloads.accepted(payloads.strict(chain, REQUEST) if strict else chain, REQUEST), years, names)
+
+
+def who_outcomes(pages: DataFrame, countries: list[str] = (), names: dict[str, str] = WHO_INDICATORS) -> DataFrame:
+    return payloads.outcomes(payloads.odata_chain(_requested(pages, list(countries), names), REQUEST), REQUEST)
+
+
+def who_from(records: DataFrame, years: tuple[int, int] = INDICATOR_YEARS, names: dict[str, str] = WHO_INDICATORS) -> DataFrame:
+    """Rows of accepted records.
+
     A zero number counts as absent and falls back to the text value; without
     that the row is dropped.
     """
-    records = payloads.odata_records(_requested(pages, list(countries), names), REQUEST)
     wanted = ["TimeDim", "TimeDimensionValue", "NumericValue", "Value", "Low", "High", "Dim1", "Dim1Type", "Dim2", "Dim2Type"]
     texts, f = fields.unpack(records, "rec", {n: [n] for n in wanted})
 
@@ -73,9 +87,19 @@ def worldbank_rows(
     countries: list[str] = (),
     years: tuple[int, int] = INDICATOR_YEARS,
     names: dict[str, str] = WORLDBANK_INDICATORS,
+    strict: bool = False,
 ) -> DataFrame:
-    """Rows of the World Bank series in delivery order; zero is a value here."""
-    records = payloads.paged_pair_records(_requested(pages, list(countries), names), REQUEST)
+    """Rows of the World Bank series in delivery order; broken requests as in ``who_rows``."""
+    chain = payloads.pair_chain(_requested(pages, list(countries), names), REQUEST)
+    return worldbank_from(payloads.accepted(payloads.strict(chain, REQUEST) if strict else chain, REQUEST), years, names)
+
+
+def worldbank_outcomes(pages: DataFrame, countries: list[str] = (), names: dict[str, str] = WORLDBANK_INDICATORS) -> DataFrame:
+    return payloads.outcomes(payloads.pair_chain(_requested(pages, list(countries), names), REQUEST), REQUEST)
+
+
+def worldbank_from(records: DataFrame, years: tuple[int, int] = INDICATOR_YEARS, names: dict[str, str] = WORLDBANK_INDICATORS) -> DataFrame:
+    """Rows of accepted records; zero is a value here."""
     texts, f = fields.unpack(records, "rec", {"date": ["date"], "value": ["value"]})
     typed = fields.once(texts, f["date"].whole().alias("year"), f["value"].number().alias("value")).select(
         *REQUEST, "year", "value", *ORDER

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vitalgrid.functions import fields
@@ -33,10 +33,20 @@ WHO_CODES = {
 }
 
 
-def who_series(spark: SparkSession, sf: str) -> DataFrame:
-    """Events as one-record pages; a request is a user and an event type."""
+def _who_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as one-record pages; a request is a user and an event type, its pages in the order of their ids.
+
+    Of some requests the second page was not landed, failed or is cut short, or
+    the last page names a next one.
+    """
     kind, k = F.col("event_type"), F.get_json_object("props", "$.k").cast("int")
-    year = (F.lit(2000) + F.dayofmonth("ts")).cast("string")
+    request = Window.partitionBy("user_id", "event_type")
+    fault = (F.col("user_id") + F.length("event_type")) % 12
+    events = table(spark, sf, "events").withColumns(
+        {"page": F.row_number().over(request.orderBy("event_id")), "n": F.count("*").over(request), "fault": fault}
+    )
+    day = F.dayofmonth("ts")
+    year = F.when(day == 31, 1999).otherwise(2000 + day % 27).cast("string")
     text = F.col("value").cast("decimal(18,2)").cast("string")
     record = _object(
         _field("TimeDim", F.when(kind == "click", year).when(kind == "view", _quoted(year))
@@ -51,20 +61,37 @@ def who_series(spark: SparkSession, sf: str) -> DataFrame:
         _field("Dim2", F.when(kind == "view", '" YEARS15-49 "').when(kind == "purchase", '""')),
     )
     codes = F.create_map(*[F.lit(x) for pair in WHO_CODES.items() for x in pair])
-    pages = table(spark, sf, "events").select(
+    second = F.col("page") == 2
+    link = F.when((F.col("page") < F.col("n")) | (F.col("fault") == 1), ',"@odata.nextLink":"more"').otherwise("")
+    return events.where(~(second & (F.col("fault") == 0))).select(
         F.concat(F.lit("u"), "user_id").alias("iso3"),
         codes[kind].alias("indicator_code"),
-        F.col("event_id").alias("page"),
-        F.when(F.col("value") > 300, 404).otherwise(200).alias("status"),
-        F.concat(F.lit('{"value":['), record, F.lit("]}")).alias("body"),
+        "page",
+        F.when(second & (F.col("fault") == 2), 503).when(F.col("value") > 300, 404).otherwise(200).alias("status"),
+        F.concat(F.lit('{"value":['), record, F.when(second & (F.col("fault") == 3), "").otherwise(F.concat(F.lit("]"), link, F.lit("}")))).alias("body"),
     )
-    rows = indicators.who_rows(pages)
+
+
+def who_series(spark: SparkSession, sf: str) -> DataFrame:
+    rows = indicators.who_rows(_who_pages(spark, sf))
     keys = ["iso3", "indicator_code", "year", "sex", "age_group"]
     return pick.last_write_wins(rows, keys, indicators.ORDER)
 
 
-def worldbank_series(spark: SparkSession, sf: str) -> DataFrame:
-    """Order lines as pages; a request is an order and a line status."""
+def _worldbank_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines as pages; a request is an order and a line status, its pages in the order of the lines.
+
+    Of some requests the second page was not landed, failed or is no JSON, or the
+    pages announce one more than there are.
+    """
+    request = Window.partitionBy("l_orderkey", "l_linestatus")
+    lines = table(spark, sf, "lineitem").withColumns(
+        {
+            "page": F.row_number().over(request.orderBy("l_linenumber", "l_shipdate", "l_quantity", "l_discount", "l_tax")),
+            "n": F.count("*").over(request),
+            "fault": F.col("l_orderkey") % 13,
+        }
+    )
     year = F.year("l_shipdate").cast("string")
     quantity = F.col("l_quantity").cast("bigint").cast("string")
     percent, tax = [(F.col(c) * 100 + 0.5).cast("int") for c in ("l_discount", "l_tax")]
@@ -73,25 +100,37 @@ def worldbank_series(spark: SparkSession, sf: str) -> DataFrame:
         F.lit('},{"date":"'), year, F.lit('.0","value":1},{"date":'), year,
         F.lit(',"value":0},{"date":"1999","value":null}'), F.when(percent == 3, ',"junk"]').otherwise("]"),
     )
-    announced = F.when(percent == 2, F.col("l_linenumber").cast("string")).otherwise("9")
+    announced = F.when(percent == 2, F.col("page")).when(F.col("fault") == 0, F.col("n") + 1).otherwise(F.col("n")).cast("string")
+    second = F.col("page") == 2
     body = (
-        F.when(percent == 0, '[{"message":[{"id":"120","value":"none"}]}]')
+        F.when(second & (F.col("fault") == 3), "<html>")
+        .when(percent == 0, '[{"message":[{"id":"120","value":"none"}]}]')
         .when(percent == 1, '[{"pages":9},null]')
         .otherwise(F.concat(F.lit('[{"pages":'), announced, F.lit("},"), records, F.lit("]")))
     )
-    pages = table(spark, sf, "lineitem").select(
+    return lines.where(~(second & (F.col("fault") == 1))).select(
         F.concat(F.lit("O"), "l_orderkey").alias("iso3"),
         F.when(F.col("l_linestatus") == "O", "SP.POP.TOTL").otherwise("SH.MED.BEDS.ZS").alias("indicator_code"),
-        F.col("l_linenumber").alias("page"),
-        F.when((tax == 8) & (percent > 5), 404).otherwise(200).alias("status"),
+        "page",
+        F.when(second & (F.col("fault") == 2), 500).when((tax == 8) & (percent > 5), 404).otherwise(200).alias("status"),
         body.alias("body"),
     )
-    rows = indicators.worldbank_rows(pages)
+
+
+def worldbank_series(spark: SparkSession, sf: str) -> DataFrame:
+    rows = indicators.worldbank_rows(_worldbank_pages(spark, sf))
     return rows.groupBy("iso3", "indicator_code", "indicator_name", "year").agg(
         F.count("*").alias("rows"), F.sum("value").alias("value")
     )
 
 
+def request_status(spark: SparkSession, sf: str) -> DataFrame:
+    """What became of every request of both sources."""
+    who = indicators.who_outcomes(_who_pages(spark, sf)).select(F.lit("who").alias("api"), "*")
+    bank = indicators.worldbank_outcomes(_worldbank_pages(spark, sf)).select(F.lit("worldbank").alias("api"), "*")
+    return who.unionByName(bank)
+
+
 def fertility_bins(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as one-record payloads; a slice is a nation and an order year."""
     orders = table(spark, sf, "orders").join(
@@ -163,24 +202,81 @@ def envelope_explode(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "who_series": who_series,
     "worldbank_series": worldbank_series,
+    "request_status": request_status,
     "fertility_bins": fertility_bins,
     "envelope_explode": envelope_explode,
 }
 
-SQL = {
-    "who_series": f"""
-WITH e AS (
-  SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events
-),
+_WHO = """
 named(event_type, indicator_code, indicator_name) AS (VALUES
   ('click', 'HIV_0000000001', 'People living with HIV'),
   ('view', 'WHOSIS_000001', 'Life expectancy at birth'),
   ('signup', 'WHS3_49', 'NTD interventions'),
   ('error', 'MDG_0000000020', 'TB incidence per 100k'),
   ('purchase', 'NCDMORT3070', 'Prob. dying 30-70 from NCD (%)')),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS page,
+         count(*) OVER (PARTITION BY user_id, event_type) AS n, (user_id + length(event_type)) % 12 AS fault
+  FROM events),
+who_read AS (
+  SELECT e.*, CASE WHEN page = 2 AND fault = 2 THEN 'failed' WHEN value > 300 THEN 'gone'
+                   WHEN page = 2 AND fault = 3 THEN 'malformed' WHEN page = n AND fault <> 1 THEN 'complete' END AS what,
+         coalesce(max(page) OVER (PARTITION BY user_id, event_type ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM numbered e WHERE NOT (page = 2 AND fault = 0)),
+who_ends AS (
+  SELECT user_id, event_type, max(page) AS top, count(*) AS pages, bool_or(coalesce(what = 'gone', false)) AS gone,
+         min({'page': CASE WHEN page > before + 1 THEN before + 1 ELSE page END,
+              'what': CASE WHEN page > before + 1 THEN 'gap' ELSE what END}) FILTER (what IS NOT NULL OR page > before + 1) AS e
+  FROM who_read GROUP BY ALL),
+who_state AS (
+  SELECT user_id, event_type, pages, CASE WHEN gone THEN 'gone' ELSE coalesce(e.what, 'open') END AS state, coalesce(e.page, top + 1) AS at_page
+  FROM who_ends)"""
+
+_BANK = """
+bank_lines AS (
+  SELECT l_orderkey, l_linestatus, CAST(round(l_discount * 100) AS INTEGER) AS pct, CAST(round(l_tax * 100) AS INTEGER) AS tax,
+         CAST(year(l_shipdate) AS INTEGER) AS year, l_quantity, l_orderkey % 13 AS fault,
+         row_number() OVER (PARTITION BY l_orderkey, l_linestatus ORDER BY l_linenumber, l_shipdate, l_quantity, l_discount, l_tax) AS page,
+         count(*) OVER (PARTITION BY l_orderkey, l_linestatus) AS n
+  FROM lineitem),
+bank_read AS (
+  SELECT *, CASE WHEN page = 2 AND fault = 2 THEN 3 WHEN tax = 8 AND pct > 5 THEN 1 WHEN page = 2 AND fault = 3 THEN 4
+                 WHEN pct IN (0, 1) THEN 2 WHEN pct = 2 OR page >= n + CASE WHEN fault = 0 THEN 1 ELSE 0 END THEN 0 END AS code,
+         coalesce(max(page) OVER (PARTITION BY l_orderkey, l_linestatus ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM bank_lines WHERE NOT (page = 2 AND fault = 1)),
+bank_ends AS (
+  SELECT l_orderkey, l_linestatus, max(page) AS top, count(*) AS pages,
+         min(CASE WHEN page > before + 1 THEN (before + 1) * 8 + 5 ELSE page * 8 + code END) AS e
+  FROM bank_read GROUP BY ALL),
+bank_state AS (
+  SELECT l_orderkey, l_linestatus, pages, e % 8 AS code, coalesce(e // 8, top + 1) AS at_page,
+         coalesce(['complete', 'gone', 'complete', 'failed', 'malformed', 'gap'][e % 8 + 1], 'open') AS state
+  FROM bank_ends),
+bank_kept AS (
+  SELECT r.* FROM bank_read r JOIN bank_state s USING (l_orderkey, l_linestatus)
+  WHERE (s.code = 0 AND page <= at_page) OR (s.code = 2 AND page < at_page))"""
+
+_BANK_CODE = "CASE WHEN l_linestatus = 'O' THEN 'SP.POP.TOTL' ELSE 'SH.MED.BEDS.ZS' END"
+
+SQL = {
+    "request_status": f"""
+WITH {_WHO}, {_BANK}
+SELECT 'who' AS api, 'U' || user_id AS iso3, indicator_code, state, CAST(at_page AS INTEGER) AS at_page, pages,
+       CASE state WHEN 'complete' THEN at_page ELSE 0 END AS records
+FROM who_state JOIN named USING (event_type)
+UNION ALL
+SELECT 'worldbank', 'O' || l_orderkey, {_BANK_CODE}, state, CAST(at_page AS INTEGER), pages,
+       coalesce((SELECT sum(CASE WHEN pct = 3 THEN 5 ELSE 4 END) FROM bank_kept k
+                 WHERE k.l_orderkey = s.l_orderkey AND k.l_linestatus = s.l_linestatus), 0)::BIGINT
+FROM bank_state s""",
+    "who_series": f"""
+WITH {_WHO},
+e AS (
+  SELECT r.*, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM who_read r JOIN who_state s USING (user_id, event_type)
+  WHERE state = 'complete'),
 rows AS (
   SELECT 'U' || user_id AS iso3, indicator_code, indicator_name, event_id,
-         CAST(2000 + day(ts) AS INTEGER) AS year,
+         CAST(2000 + day(ts) % 27 AS INTEGER) AS year,
          CASE WHEN k < 5 THEN 0.0 ELSE value END AS numeric_value,
          CASE e.event_type WHEN 'click' THEN value WHEN 'view' THEN 1.5 END AS low_value,
          CAST(NULL AS DOUBLE) AS high_value,
@@ -188,40 +284,18 @@ rows AS (
               WHEN 'purchase' THEN 'SEX_MLE' ELSE 'BTSX' END AS sex,
          CASE e.event_type WHEN 'view' THEN 'YEARS15-49' ELSE 'TOTAL' END AS age_group
   FROM e JOIN named USING (event_type)
-  WHERE (user_id, e.event_type) NOT IN (SELECT (user_id, event_type) FROM events WHERE value > 300)
-    -- A number of zero falls back to the text value, which is junk from k = 20 on.
-    AND (k < 5 OR k BETWEEN 10 AND 14 OR (k >= 20 AND value <> 0)) AND day(ts) <= 26
+  -- A number of zero falls back to the text value, which is junk from k = 20 on.
+  WHERE (k < 5 OR k BETWEEN 10 AND 14 OR (k >= 20 AND value <> 0)) AND day(ts) <> 31
 )
 SELECT DISTINCT ON (iso3, indicator_code, year, sex, age_group)
        iso3, indicator_code, year, sex, age_group, numeric_value, low_value, high_value, indicator_name
 FROM rows ORDER BY iso3, indicator_code, year, sex, age_group, event_id DESC""",
-    "worldbank_series": """
-WITH p AS (
-  SELECT 'O' || l_orderkey AS iso3,
-         CASE WHEN l_linestatus = 'O' THEN 'SP.POP.TOTL' ELSE 'SH.MED.BEDS.ZS' END AS indicator_code,
-         l_linenumber AS page, CAST(round(l_discount * 100) AS INTEGER) AS pct, CAST(round(l_tax * 100) AS INTEGER) AS tax,
-         CAST(year(l_shipdate) AS INTEGER) AS year, l_quantity
-  FROM lineitem
-),
-q AS (
-  SELECT *, CASE WHEN tax = 8 AND pct > 5 THEN 'missing' WHEN pct IN (0, 1) THEN 'no_list'
-                 WHEN pct = 2 OR page >= 9 THEN 'last' END AS why
-  FROM p
-),
-ends AS (
-  SELECT DISTINCT ON (iso3, indicator_code) iso3, indicator_code, page AS at_page, why AS end_why
-  FROM q WHERE why IS NOT NULL ORDER BY iso3, indicator_code, page, why
-),
-kept AS (
-  SELECT q.* FROM q LEFT JOIN ends USING (iso3, indicator_code)
-  WHERE at_page IS NULL OR (end_why = 'last' AND page <= at_page) OR (end_why = 'no_list' AND page < at_page)
-),
+    "worldbank_series": f"""
+WITH {_BANK},
 rows AS (
-  SELECT iso3, indicator_code, year, l_quantity AS value FROM kept WHERE pct NOT IN (0, 1) AND coalesce(why, '-') <> 'missing'
-  UNION ALL SELECT iso3, indicator_code, year, 0.0 FROM kept WHERE pct NOT IN (0, 1) AND coalesce(why, '-') <> 'missing'
-)
-SELECT iso3, indicator_code,
-       CASE indicator_code WHEN 'SP.POP.TOTL' THEN 'Total population' ELSE 'Hospital beds per 1000' END AS indicator_name,
+  SELECT l_orderkey, l_linestatus, year, unnest([l_quantity, 0.0]) AS value FROM bank_kept)
+SELECT 'O' || l_orderkey AS iso3, {_BANK_CODE} AS indicator_code,
+       CASE WHEN l_linestatus = 'O' THEN 'Total population' ELSE 'Hospital beds per 1000' END AS indicator_name,
        year, count(*) AS rows, sum(value) AS value
 FROM rows WHERE year BETWEEN 2000 AND 2026 GROUP BY ALL""",
     "fertility_bins": """
