@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from conftest import rows
@@ -60,6 +62,33 @@ def test_an_airport_never_asked_counts_as_unreachable(spark):
     assert rows(cover.where("iso3 = 'AAA'"), "airports", "unreachable", "listed") == [(10, 1, "AA09")]
 
 
+def test_coverage_against_brute_force(spark):
+    rnd = random.Random(3)
+    airports = [(f"{c}{i:03}", c) for c, n in (("A", 40), ("B", 11), ("C", 1), ("D", 12), ("E", 300)) for i in rnd.sample(range(999), n)]
+    asked = {}
+    for code, c in airports:
+        for day in range(6):
+            if rnd.random() < (0.97, 0.5, 0.1, 0.02, 1.0, 0.9)[day] and not (c == "D" and day == 2):
+                asked[code, day] = rnd.random() < (0.1, 0.5, 0.0, 1.0, 1.0, 0.02)[day]
+    log = [(code, str(day), down) for (code, day), down in asked.items()] * 2 + [("Q1", "1", True)]
+    rnd.shuffle(log)
+    got = mobility.coverage(
+        spark.createDataFrame(log, "airport string, date string, unreachable boolean").repartition(3),
+        spark.createDataFrame(airports + airports[:5], "icao_code string, iso3 string"),
+    )
+    expected = []
+    for c in "ABCDE":
+        own = sorted(code for code, of in airports if of == c)
+        for day in range(6):
+            if any((code, day) in asked for code in own):
+                down = [code for code in own if asked.get((code, day), True)]
+                share = len(down) / len(own)
+                listed = ", ".join(down[:10]) + (" ..." if len(down) > 10 else "") if down else None
+                expected.append((c, str(day), len(own), len(down), share, "fail" if share > 0.2 else "warn" if down else "ok", listed))
+    assert rows(got) == sorted(expected, key=lambda r: r[:2])
+    assert mobility.coverage(got.selectExpr("iso3 airport", "date", "true unreachable").limit(0), spark.createDataFrame(airports, "icao_code string, iso3 string")).count() == 0
+
+
 def test_importation(spark):
     volumes = spark.createDataFrame([("A", "C", "d", 10), ("B", "C", "d", 5), ("X", "C", "d", 7)], "origin_iso3 string, destination_iso3 string, date string, estimated_passengers int")
     states = spark.createDataFrame([("A", 2.0, 100), ("B", 1.0, 10)], "iso3 string, prevalence double, population bigint")

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalgrid.functions import clean
 from vitalgrid.functions.flights import passengers
-from vitalgrid.operators.pick import first_n_text
 from vitalgrid.refdata import AIRPORT_TYPES, DEFAULT_SEATS, MAX_UNREACHABLE
 
 
@@ -93,33 +92,58 @@ def coverage_status(unreachable: Column, airports: Column, limit: float = MAX_UN
     return F.when(share > limit, "fail").when(unreachable > 0, "warn").otherwise("ok")
 
 
-def coverage(outcomes: DataFrame, airports: DataFrame, limit: float = MAX_UNREACHABLE) -> DataFrame:
-    """Share of a country's airports without an answer, per day.
+def coverage(outcomes: DataFrame, airports: DataFrame, limit: float = MAX_UNREACHABLE, n: int = 10) -> DataFrame:
+    """Share of a country's airports without an answer, per day, and the first ``n`` of them by name.
 
     The base is every airport of the country, so an airport that was never
     asked counts as unreachable: unknown is not zero. Countries without
-    airports do not appear.
+    airports do not appear. Airports are never multiplied with days: those that
+    answered are counted and taken from the airports there are, and the first
+    names without an answer stand in the gaps between the ranks of the others.
     """
-    codes = airports.select(F.col("icao_code").alias("airport"), "iso3")
-    known = outcomes.select("airport", "date", "unreachable").join(codes, "airport")
-    days = known.select("iso3", "date").distinct()
-    asked = known.select("airport", "date", "unreachable").groupBy("airport", "date").agg(
-        F.min("unreachable").alias("unreachable")
+    ranked = airports.select(F.col("icao_code").alias("airport"), "iso3").distinct().withColumns(
+        {
+            "_rank": F.row_number().over(Window.partitionBy("iso3").orderBy("airport")),
+            "_airports": F.count("*").over(Window.partitionBy("iso3")),
+        }
     )
-    per_airport = (
-        codes.join(days, "iso3")
-        .join(asked, ["airport", "date"], "left")
-        .withColumn("unreachable", F.coalesce("unreachable", F.lit(True)))
+    asked = outcomes.select("airport", "date", (~F.col("unreachable")).alias("_answered")).join(ranked, "airport")
+    day = ["iso3", "date"]
+    # Dealt once by country and day; the groupings and the window below keep that.
+    per_airport = asked.repartition(*day).groupBy(*day, "_rank", "_airports").agg(F.max("_answered").alias("_answered"))
+    earlier = Window.partitionBy(*day).orderBy("_rank").rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.when(F.col("_answered"), F.col("_rank"))
+    last, before = F.coalesce(F.max(reached).over(earlier), F.lit(0)), F.count(reached).over(earlier)
+    # A gap that starts with more than n missing names before it shows none of its own.
+    gap = F.col("_answered") & (F.col("_rank") > F.col("_last") + 1) & (F.col("_last") - F.col("_before") <= n)
+    gaps = per_airport.withColumns({"_last": last, "_before": before}).withColumn(
+        "_gap", F.when(gap, F.sequence(F.col("_last") + 1, F.least(F.col("_rank") - 1, F.col("_last") + n + 1)))
     )
-    counted = per_airport.groupBy("iso3", "date").agg(
-        F.count("*").alias("airports"),
-        F.sum(F.col("unreachable").cast("int")).alias("unreachable"),
+    top = F.coalesce(F.max(F.when(F.col("_answered"), F.col("_rank"))), F.lit(0))
+    counted = gaps.groupBy(*day).agg(
+        F.max("_airports").alias("airports"),
+        (F.max("_airports") - F.count(F.when(F.col("_answered"), 1))).alias("unreachable"),
+        F.flatten(F.collect_list("_gap")).alias("_inner"),  # at most n + 1 gaps of n + 1 ranks
+        top.alias("_top"),
     )
-    listed = first_n_text(per_airport.where("unreachable"), ["iso3", "date"], "airport")
-    return (
-        counted.withColumn("share", F.col("unreachable") / F.col("airports"))
-        .withColumn("status", coverage_status(F.col("unreachable"), F.col("airports"), limit))
-        .join(listed, ["iso3", "date"], "left")
+    end = F.when(F.col("_top") < F.col("airports"), F.sequence(F.col("_top") + 1, F.least(F.col("airports").cast("int"), F.col("_top") + n + 1)))
+    missing = F.slice(F.array_sort(F.concat("_inner", F.coalesce(end, F.array().cast("array<int>")))), 1, n + 1)
+    counted = counted.select(*day, "airports", "unreachable", missing.alias("_missing"))
+    named = (
+        counted.select(*day, F.explode_outer("_missing").alias("_rank"), "airports", "unreachable")
+        .join(ranked.select("iso3", "_rank", "airport"), ["iso3", "_rank"], "left")
+        .groupBy(*day, "airports", "unreachable")
+        .agg(F.array_sort(F.collect_list("airport")).alias("_names"))
+    )
+    listed = F.when(
+        F.size("_names") > 0,
+        F.concat(F.array_join(F.slice("_names", 1, n), ", "), F.when(F.size("_names") > n, " ...").otherwise("")),
+    )
+    return named.select(
+        *day, "airports", "unreachable",
+        (F.col("unreachable") / F.col("airports")).alias("share"),
+        coverage_status(F.col("unreachable"), F.col("airports"), limit).alias("status"),
+        listed.alias("listed"),
     )
 
 

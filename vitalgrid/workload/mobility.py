@@ -92,7 +92,7 @@ def _event_airports(spark: SparkSession, sf: str) -> DataFrame:
     users = table(spark, sf, "events").select("user_id").distinct()
     return users.select(
         F.concat(F.lit("U"), "user_id").alias("icao_code"),
-        F.concat(F.lit("L"), F.substring(F.col("user_id").cast("string"), -1, 1)).alias("iso3"),
+        F.concat(F.lit("L"), F.floor(F.col("user_id") / 16).cast("string")).alias("iso3"),
     )
 
 
@@ -158,9 +158,12 @@ def airports_clean(spark: SparkSession, sf: str) -> DataFrame:
         F.when(segment == "BUILDING", "large_airport").when(segment == "MACHINERY", " medium_airport ")
         .when(segment == "HOUSEHOLD", "heliport").otherwise("medium_airport")
     )
+    # Two customers a code, from the whole key; a code has four characters as long as the key allows.
+    digits = F.conv(F.floor(F.col("c_custkey") / 2).cast("string"), 10, 36)
+    code = F.when(F.length(digits) < 4, F.lpad(digits, 4, "0")).otherwise(digits)
     raw = table(spark, sf, "customer").select(
         kind.alias("type"),
-        F.concat(F.lit(" a"), F.substring("c_name", -3, 3), F.when(segment == "FURNITURE", "x").otherwise("")).alias("ident"),
+        F.concat(F.lit(" "), F.lower(code), F.when(segment == "FURNITURE", "x").otherwise("")).alias("ident"),
         F.lower(F.get(F.array(*[F.lit(c) for c in CODES]), F.col("c_nationkey"))).alias("iso_country"),
         F.when(F.col("c_acctbal") > 0, F.concat(F.lit(" q"), F.col("c_nationkey"))).otherwise(" ").alias("iata_code"),
         F.concat(F.col("c_name"), F.lit(" ")).alias("name"),
@@ -196,7 +199,7 @@ volumes AS (
 
 _LOG = """
 users AS (
-  SELECT DISTINCT 'U' || user_id AS airport, 'L' || right(CAST(user_id AS VARCHAR), 1) AS iso3 FROM events
+  SELECT DISTINCT 'U' || user_id AS airport, 'L' || (user_id // 16) AS iso3 FROM events
 ),
 log AS (
   SELECT event_id, user_id, 'U' || user_id AS airport, CAST(ts AS DATE) AS d,
@@ -284,7 +287,7 @@ raw AS (
   SELECT c_custkey,
          trim(CASE c_mktsegment WHEN 'BUILDING' THEN 'large_airport' WHEN 'HOUSEHOLD' THEN 'heliport'
               ELSE 'medium_airport' END) AS type,
-         upper('a' || right(c_name, 3) || CASE WHEN c_mktsegment = 'FURNITURE' THEN 'x' ELSE '' END) AS icao_code,
+         to_base(c_custkey // 2, 36, 4) || CASE WHEN c_mktsegment = 'FURNITURE' THEN 'X' ELSE '' END AS icao_code,
          ({CODES})[c_nationkey + 1] AS iso2,
          CASE WHEN c_acctbal > 0 THEN 'Q' || c_nationkey END AS iata_code,
          c_name AS name,
