@@ -10,8 +10,9 @@ from vitalgrid import schemas
 from vitalgrid.plans import covid
 from vitalgrid.refdata import COVID_METRICS
 from vitalgrid.sinks import csvfiles as out_csv
-from vitalgrid.sinks import fs, rewrite, tables
-from vitalgrid.sources import csvfiles, tables as source
+from vitalgrid.sinks import fs, ordered, rewrite, tables
+from vitalgrid.sources import csvfiles, listing
+from vitalgrid.sources import tables as source
 from vitalgrid.streaming import landed
 
 def t0():
@@ -108,6 +109,50 @@ def test_replace_slices_on_disk(spark, tmp_path):
     tables.replace_slices(schemas.FERTILITY, path, fertility(spark, [("A", 1, "MEDIAN", 15, 19, 2.0, "UN_WPP", "2024")]), ["iso3", "year"], t1())
     got = rows(source.read(spark, schemas.FERTILITY, path), "iso3", "year", "asfr", "release", "created_at")
     assert got == [("A", 1, 2.0, "2024", dt.datetime(2024, 2, 1)), ("A", 2, 1.0, "2024", dt.datetime(2024, 1, 1))]
+    kept, other = ({os.path.basename(f) for f in glob.glob(f"{path}/year={y}/*.parquet")} for y in (2, 1))
+    tables.replace_slices(schemas.FERTILITY, path, fertility(spark, [("B", 1, "MEDIAN", 15, 19, 3.0, "UN_WPP", "2024")]), ["iso3", "year"], t1())
+    assert {os.path.basename(f) for f in glob.glob(f"{path}/year=2/*.parquet")} == kept
+    assert {os.path.basename(f) for f in glob.glob(f"{path}/year=1/*.parquet")} != other
+    assert rows(source.read(spark, schemas.FERTILITY, path), "iso3", "year", "asfr") == [("A", 1, 2.0), ("A", 2, 1.0), ("B", 1, 3.0)]
+
+
+def test_a_second_writer_is_refused(spark, tmp_path):
+    path = str(tmp_path / "wb")
+    one = wb(spark, [("A", "i", "n", 2000, 1.0, 0)])
+    with fs.only_writer(spark, path):
+        with pytest.raises(RuntimeError, match="another writer"):
+            tables.upsert(schemas.WORLDBANK, path, one, t0(), ["_o"])
+    with pytest.raises(Exception):
+        tables.upsert(schemas.WORLDBANK, path, one.withColumn("year", F.raise_error(F.lit("x")).cast("int")), t0(), ["_o"])
+    tables.upsert(schemas.WORLDBANK, path, one, t0(), ["_o"])  # a load that failed leaves no mark
+    assert source.read(spark, schemas.WORLDBANK, path).count() == 1
+    assert [n for n in os.listdir(tmp_path) if n.startswith("_")] == []
+
+
+def test_load_metrics_are_observed(spark, tmp_path):
+    rows_in = wb(spark, [("A", "i", "n", 2000, 1.0, 0), ("A", "i", "n", 2000, 2.0, 1), ("B", "i", "n", 2001, 3.0, 0), (None, "i", "n", 2001, 3.0, 0)])
+    assert tables.upsert(schemas.WORLDBANK, str(tmp_path / "wb"), rows_in.repartition(3), t0(), ["_o"], "iso3") == tables.LoadMetrics(4, 3, 2)
+    assert tables.upsert(schemas.WORLDBANK, str(tmp_path / "none"), rows_in.limit(0), t0(), ["_o"], "iso3") == tables.LoadMetrics(0, 0, 0)
+    assert tables.upsert(schemas.WORLDBANK, str(tmp_path / "plain"), rows_in.limit(0), t0(), ["_o"]).entities is None
+
+
+def test_files_in_order(spark, tmp_path):
+    path = str(tmp_path / "o")
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("a"), F.col("id").alias("b")).repartition(6)
+    ordered.write_ordered(df, path, ["a", "b"], files=5)
+    got = [r.a for r in ordered.read_ordered(spark, path).orderBy("_place").collect()]
+    assert got == sorted(got) and len(got) == 1000 and len(fs.data_files(spark, path)) > 1
+
+
+def test_scan_below_a_root(spark, tmp_path):
+    (tmp_path / "old").mkdir()
+    for name, text in (("fra_pop_2020_x_COG.TIF", "a"), ("deu_pop_2020_x_cog.tiff", "bb"), ("fra_pop_2021_x_cog.tif", "c"), ("old/ita_pop_2020_x_cog.tif", "d"), ("fra_pop_2020_x_cog.tif.partial", "e")):
+        (tmp_path / name).write_text(text)
+    for root in (str(tmp_path), str(tmp_path) + "/", f"file:{tmp_path}"):
+        found = listing.year_cogs(listing.list_files(spark, root, recursive=True), 2020, root)
+        assert [os.path.basename(r.path) for r in found.collect()] == ["deu_pop_2020_x_cog.tiff", "fra_pop_2020_x_COG.TIF"]
+    everywhere = listing.year_cogs(listing.list_files(spark, str(tmp_path), recursive=True), 2020)
+    assert everywhere.count() == 3 and "content" not in everywhere.columns
 
 
 def test_migrate_old_schema(spark, tmp_path):
@@ -154,7 +199,11 @@ def test_recompress(spark, tmp_path, monkeypatch):
     df = spark.read.parquet(path)
     assert df.count() == 20000 and df.agg(F.sum("id")).first()[0] == 20000 * 19999 // 2
     assert [n for n in os.listdir(tmp_path) if n.startswith("_")] == []
-    assert rows(rewrite.recompress_all(spark, [path]), "status") == [("skip",)]
+    for i in range(10):
+        spark.range(i, 500).write.option("compression", "none").parquet(str(tmp_path / f"many{i}"))
+    done = rewrite.recompress_all(spark, [path, *(str(tmp_path / f"many{i}") for i in range(10))])
+    assert rows(done, "status") == [("ok",)] * 10 + [("skip",)]
+    assert [spark.read.parquet(str(tmp_path / f"many{i}")).count() for i in range(10)] == [500 - i for i in range(10)]
 
 
 def test_pyramid_csv(spark, tmp_path):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vitalgrid.operators import agebands, fertility, raster
 from vitalgrid.refdata import FERTILITY_RELEASE, FERTILITY_SOURCE, NODATA
+from vitalgrid.sinks import ordered
 from vitalgrid.sources import payloads
 
 
@@ -23,6 +24,11 @@ def fertility_rows(
     )
 
 
+def write_bins(rows: DataFrame, path: str) -> None:
+    """Bins as files that hold them by slice, variant and age, in this order from one file to the next."""
+    ordered.write_ordered(rows, path, ["iso3", "year", "variant_short_name", "age_min"])
+
+
 def pyramid_rows(tiles: DataFrame, nodata: float = NODATA) -> DataFrame:
     """17 bins per (iso3, year) from the tiles of the 20 age rasters.
 

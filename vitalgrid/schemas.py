@@ -116,6 +116,7 @@ FERTILITY = Table(
     ["iso3", "year", "variant_short_name", "age_min", "age_max", "source", "release"],
     ["asfr"],
     {"created_at": NOW},
+    ["year"],
 )
 
 AGE_PYRAMID = Table(
@@ -135,6 +136,7 @@ RASTERS = Table(
     ["stage", "filename", "sha256"],
     ["exact_total"],
     {"created_at": NOW},
+    ["stage"],
 )
 
 RUNS = Table(

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -12,6 +14,12 @@ def _handle(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, as scans name it."""
+    fs, p = _handle(spark, path)
+    return fs.makeQualified(p).toString().rstrip("/")
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p = _handle(spark, path)
     return fs.exists(p)
@@ -27,6 +35,12 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def make(spark: SparkSession, path: str) -> None:
+    """Create a folder and those above it."""
+    fs, p = _handle(spark, path)
+    fs.mkdirs(p)
+
+
 def rename(spark: SparkSession, src: str, dst: str) -> None:
     fs, s = _handle(spark, src)
     _, d = _handle(spark, dst)
@@ -60,11 +74,32 @@ def _previous(path: str) -> str:
     return f"{head}/_previous_{tail}"
 
 
+@contextmanager
+def only_writer(spark: SparkSession, path: str) -> Iterator[None]:
+    """Refuse a second writer of a table for the time of the block.
+
+    The file system creates the mark beside the table or says that it is there.
+    A writer that was killed leaves its mark behind; who knows that it is
+    gone removes it.
+    """
+    head, _, tail = path.rstrip("/").rpartition("/")
+    mark = f"{head}/_writing_{tail}"
+    fs, p = _handle(spark, mark)
+    fs.mkdirs(p.getParent())
+    if not fs.createNewFile(p):
+        raise RuntimeError(f"another writer is at the table: {mark}")
+    try:
+        yield
+    finally:
+        fs.delete(p, False)
+
+
 def swap_in(spark: SparkSession, staged: str, path: str) -> None:
     """Put a finished dataset in place of another.
 
-    The old one is set aside first and dropped last, so at every moment either
-    is complete; ``recover`` puts it back if the swap was cut short.
+    The old one is set aside first and dropped last; between the two renames
+    readers find neither, and ``recover`` puts the old one back if the swap was
+    cut short there. One writer at a time: see ``only_writer``.
     """
     recover(spark, path)
     old = _previous(path)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from vitalgrid.operators.digest import table_digest
@@ -49,7 +52,15 @@ def recompress(spark: SparkSession, path: str, codec: str = "zstd", dry_run: boo
             fs.remove(spark, staged)
 
 
+AT_ONCE = 8  # datasets that are rewritten side by side
+
+
 def recompress_all(spark: SparkSession, paths: list[str], codec: str = "zstd", dry_run: bool = False) -> DataFrame:
-    """Results per dataset, as input to the rewrite report."""
-    rows = [(p, *recompress(spark, p, codec, dry_run)) for p in sorted(paths)]
+    """Results per dataset, as input to the rewrite report.
+
+    The jobs of several datasets run side by side, so that small ones fill what a
+    large one leaves free.
+    """
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        rows = list(pool.map(inheritable_thread_target(spark)(lambda p: (p, *recompress(spark, p, codec, dry_run))), sorted(paths)))
     return spark.createDataFrame(rows, "path string, status string, before bigint, after bigint")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vitalgrid.operators import merge
@@ -65,17 +66,32 @@ def _fixed(df: DataFrame) -> Iterator[DataFrame]:
         fs.remove(df.sparkSession, path)
 
 
+@dataclass(frozen=True)
+class LoadMetrics:
+    """What a load brought: rows delivered, keys among them, and different entities where asked for."""
+
+    rows: int
+    keys: int
+    entities: int | None
+
+
 def upsert(
-    table: Table, path: str, incoming: DataFrame, now: Column, order: list[str] | None = None
-) -> None:
+    table: Table, path: str, incoming: DataFrame, now: Column, order: list[str] | None = None, entity: str | None = None
+) -> LoadMetrics:
     """Upsert incoming rows into the stored table by its key.
 
     A partitioned table (its partition columns are part of the key) is read and
-    rewritten only where rows arrive.
+    rewritten only where rows arrive. The metrics are observed while the rows are
+    written and cost no scan; ``entity`` names a column of few values, such as
+    the country. A stage that runs again after a loss may count rows twice.
     """
     spark = incoming.sparkSession
     parts = table.partition_by
-    with _fixed(merge.last_write_wins(incoming, table.keys, order) if order else incoming) as rows:
+    delivered, unique = Observation(), Observation()
+    entities = [F.size(F.collect_set(entity)).alias("entities")] if entity else []
+    seen = incoming.observe(delivered, F.count(F.lit(1)).alias("rows"), *entities)
+    kept = (merge.last_write_wins(seen, table.keys, order) if order else seen).observe(unique, F.count(F.lit(1)).alias("keys"))
+    with fs.only_writer(spark, path), _fixed(kept) as rows:
         stored = _stored(spark, table, path)
         if parts:
             stored = touched(stored, rows, parts)
@@ -88,17 +104,26 @@ def upsert(
             replace_partitions(merged, path, parts)
         else:
             replace(merged, path)
+    return LoadMetrics(delivered.get["rows"], unique.get["keys"], delivered.get.get("entities"))
 
 
 def replace_slices(table: Table, path: str, rows: DataFrame, slice_keys: list[str], now: Column) -> None:
-    """Replace the slices the rows fall into; other slices keep what they hold."""
+    """Replace the slices the rows fall into; other slices keep what they hold.
+
+    Where the table is partitioned by columns of the slice, partitions without
+    new rows are neither read nor written.
+    """
     spark = rows.sparkSession
     for name, default in table.default_columns(now).items():
         if name not in rows.columns:
             rows = rows.withColumn(name, default)
-    with _fixed(merge.evolve(rows, table.schema)) as new:
+    parts = table.partition_by
+    with fs.only_writer(spark, path), _fixed(merge.evolve(rows, table.schema)) as new:
         stored = _stored(spark, table, path)
-        replace(merge.replace_slices(stored, new, slice_keys), path, table.partition_by)
+        if parts and set(parts) <= set(slice_keys):
+            replace_partitions(merge.replace_slices(touched(stored, new, parts), new, slice_keys), path, parts)
+        else:
+            replace(merge.replace_slices(stored, new, slice_keys), path, parts)
 
 
 def insert_if_absent(table: Table, path: str, rows: DataFrame, order: list[str] | None = None, now: Column | None = None) -> None:

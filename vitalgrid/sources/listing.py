@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalgrid.functions import files
+from vitalgrid.sinks import fs
 
 
 def list_files(
@@ -45,7 +46,7 @@ def year_cogs(listing: DataFrame, year: int, root: str | None = None) -> DataFra
     name = files.base_name(F.col("path"))
     found = listing.where(files.is_year_cog(name, year))
     if root is not None:
-        found = found.where(files.folder(F.col("path")) == root.rstrip("/"))
+        found = found.where(files.folder(F.col("path")) == fs.qualified(listing.sparkSession, root))
     return found.orderBy("path")
 
 

@@ -39,18 +39,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    from vitalgrid.workload import catalogs, cleaning, keyed, mobility, payload, picking, rasters
+    from vitalgrid.workload import catalogs, cleaning, keyed, mobility, payload, picking, rasters, stored
 
     out: dict[str, Query] = {}
-    for module in (mobility, keyed, picking, cleaning, payload, rasters, catalogs):
+    for module in (mobility, keyed, picking, cleaning, payload, rasters, catalogs, stored):
         out.update(module.QUERIES)
     return out
 
 
 def all_sql() -> dict[str, str]:
-    from vitalgrid.workload import catalogs, cleaning, keyed, mobility, payload, picking, rasters
+    from vitalgrid.workload import catalogs, cleaning, keyed, mobility, payload, picking, rasters, stored
 
     out: dict[str, str] = {}
-    for module in (mobility, keyed, picking, cleaning, payload, rasters, catalogs):
+    for module in (mobility, keyed, picking, cleaning, payload, rasters, catalogs, stored):
         out.update(module.SQL)
     return out

@@ -46,7 +46,7 @@ def tolerant_casts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _covid_raw(spark: SparkSession, sf: str) -> DataFrame:
+def covid_raw(spark: SparkSession, sf: str) -> DataFrame:
     """Events as lines of the daily file; errors carry no metric."""
     kind, text = F.col("event_type"), F.col("value").cast("decimal(18,2)").cast("string")
     k = F.get_json_object("props", "$.k").cast("int")
@@ -62,11 +62,11 @@ def _covid_raw(spark: SparkSession, sf: str) -> DataFrame:
     return line
 
 
-_METRICS = ["total_cases", "new_cases", "stringency_index", "total_deaths"]
+METRICS = ["total_cases", "new_cases", "stringency_index", "total_deaths"]
 
 
 def _covid_daily(spark: SparkSession, sf: str) -> DataFrame:
-    rows = covid.daily_rows(_covid_raw(spark, sf), order=("event_id",), metrics=_METRICS)
+    rows = covid.daily_rows(covid_raw(spark, sf), order=("event_id",), metrics=METRICS)
     return pick.last_write_wins(rows, ["iso3", "date"], ["event_id"])
 
 
@@ -173,7 +173,7 @@ QUERIES = {
     "freshness": freshness,
 }
 
-_COVID = """
+COVID_SQL = """
 raw AS (
   SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events
 ),
@@ -208,10 +208,10 @@ SELECT event_id,
        CASE WHEN event_type = 'click' THEN 0 ELSE CAST(k AS INTEGER) END AS first_present
 FROM e""",
     "any_metric_filter": f"""
-WITH {_COVID}
+WITH {COVID_SQL}
 SELECT iso3, date, total_cases, new_cases, stringency_index, total_deaths FROM panel""",
     "covid_latest": f"""
-WITH {_COVID}
+WITH {COVID_SQL}
 SELECT DISTINCT ON (iso3) iso3, date AS last_date, total_cases, total_deaths,
        stringency_index AS last_stringency_index, '2024-02-01' AS updated_at
 FROM panel ORDER BY iso3, date DESC""",

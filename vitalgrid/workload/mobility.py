@@ -152,7 +152,8 @@ CODES3 = [
 ]
 
 
-def airports_clean(spark: SparkSession, sf: str) -> DataFrame:
+def airports_raw(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as lines of the airport file."""
     segment = F.col("c_mktsegment")
     kind = (
         F.when(segment == "BUILDING", "large_airport").when(segment == "MACHINERY", " medium_airport ")
@@ -161,7 +162,7 @@ def airports_clean(spark: SparkSession, sf: str) -> DataFrame:
     # Two customers a code, from the whole key; a code has four characters as long as the key allows.
     digits = F.conv(F.floor(F.col("c_custkey") / 2).cast("string"), 10, 36)
     code = F.when(F.length(digits) < 4, F.lpad(digits, 4, "0")).otherwise(digits)
-    raw = table(spark, sf, "customer").select(
+    return table(spark, sf, "customer").select(
         kind.alias("type"),
         F.concat(F.lit(" "), F.lower(code), F.when(segment == "FURNITURE", "x").otherwise("")).alias("ident"),
         F.lower(F.get(F.array(*[F.lit(c) for c in CODES]), F.col("c_nationkey"))).alias("iso_country"),
@@ -171,7 +172,10 @@ def airports_clean(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("1_0.5").alias("longitude_deg"),
         "c_custkey",
     )
-    return plan.airport_rows(raw, ["c_custkey"])
+
+
+def airports_clean(spark: SparkSession, sf: str) -> DataFrame:
+    return plan.airport_rows(airports_raw(spark, sf), ["c_custkey"])
 
 
 QUERIES = {
