@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from vitalgrid.llm import conversations, substrings, whitening
@@ -145,6 +146,7 @@ def texts():
     passages = [some(n) for n in (19, 20, 21, 27, 60, 200)]
     out = [None, "", " \n", some(5), passages[1], passages[1] + " x", "y\t" + passages[1], passages[0] + " q", passages[0]]
     out += ["a " * 70, "a b " * 50, "a " * 21, some(10) + " " + "a " * 25]
+    out += ["p q r s t " * 6, "only once " * 12, some(30) + " m n o" * 9]
     for _ in range(60):
         out.append(" ".join(rnd.choice([some(rnd.randint(0, 40)), rnd.choice(passages), rnd.choice(passages)[5:-9]]) for _ in range(rnd.randint(1, 6))))
     out += [out[20]] * 25 + [some(70_000) + " " + passages[4], "z" * 100_000, passages[5] + " " + passages[5]]
@@ -168,8 +170,9 @@ def brute_removed(rows, tie):
     return out
 
 
-@pytest.mark.parametrize("partitions", [3, 60])
-def test_substrings(spark, partitions):
+@pytest.mark.parametrize("partitions,piece", [(3, 1 << 18), (60, 1 << 18), (5, 3000)])
+def test_substrings(spark, monkeypatch, partitions, piece):
+    monkeypatch.setattr(substrings, "PIECE", piece)
     rows = texts()
     df = spark.createDataFrame([(i, t, 1, "p", 2) for i, t in rows], "doc_id bigint, text string, doc int, places string, tie int").repartition(5)
     keys = substrings.keyed(df).selectExpr("cast(text as string) text", "doc", "tie").distinct().collect()
@@ -193,11 +196,50 @@ def test_substrings(spark, partitions):
     assert empty == 0
 
 
-def test_rolled_hashes():
+def test_hashes_of_runs():
     h = np.random.default_rng(1).integers(0, 1 << 63, 50).astype(np.uint64)
+    runs = substrings.Runs(h, substrings.BASES[1])
     for n in (1, 2, 7, 8, 20):
-        direct = [sum(int(h[i + j]) * pow(substrings.BASES[0], n - 1 - j, 1 << 64) for j in range(n)) % (1 << 64) for i in range(50 - n + 1)]
-        assert substrings.rolled(h, n, substrings.BASES[0]).tolist() == direct
+        at = np.arange(50 - n + 1)
+        direct = [sum(int(h[i + j]) * pow(substrings.BASES[1], j, 1 << 64) for j in range(n)) % (1 << 64) for i in at]
+        assert runs.of(at, at + n).tolist() == direct
+
+
+def test_phrases_are_windows_of_one_place():
+    rnd = random.Random(2)
+    for _ in range(300):
+        texts = [[rnd.choice("abc")] * rnd.randint(0, 60) if rnd.random() < 0.2 else [rnd.choice("abcdefgh"[: rnd.randint(1, 8)]) for _ in range(rnd.randint(0, 30))] * rnd.randint(1, 4) for _ in range(5)]
+        column = pa.array([" ".join(t).encode() for t in texts], pa.binary())
+        (words,) = substrings.pieces(column)
+        order = {}
+        got = {(r, f + k): (a, r, f) for a, _, r, f, c in zip(*(x.tolist() for x in words.phrases())) for k in range(c)}
+        expected = {}
+        for r, text in enumerate(texts):
+            own = words.hashes[words.bounds[r] : words.bounds[r + 1]]
+            grams = [int(substrings.stirred(substrings.Runs(own[i : i + 8], substrings.BASES[0]).of(np.array([0]), np.array([8])))[0]) for i in range(len(own) - 7)]
+            for at in range(len(text) - 19):
+                window = grams[at : at + 13]
+                spot = at + window.index(min(window))
+                expected[r, at] = (min(window), r, order.setdefault((r, spot, min(window)), at))
+        assert got == expected
+
+
+@pytest.mark.parametrize("piece", [8, 64, 1 << 18])
+def test_words_of_a_column(monkeypatch, piece):
+    monkeypatch.setattr(substrings, "PIECE", piece)
+    bodies = [b"", b"one two", b"two", b" \t\n", b"one  two\x0bthree " * 30, "é\x85 x".encode(), b"w" * 500 + b" one", b"one"]
+    column = pa.array([b"before", *bodies], pa.binary())[1:]
+    known, counts, seen = {}, {}, set()
+    for words in substrings.pieces(column):
+        for k, row in enumerate(words.rows.tolist()):
+            text = WORD.findall(bodies[row].decode())
+            own = words.hashes[words.bounds[k] : words.bounds[k + 1]].tolist()
+            first = words.base
+            assert own == [known.setdefault(w, h) for w, h in zip(text[first:], own)] and len(own) <= len(text) - first
+            seen |= {(row, first + i) for i in range(len(own))}
+            counts[row] = max(counts.get(row, 0), first + len(own))
+    assert counts == {i: len(WORD.findall(b.decode())) for i, b in enumerate(bodies)}
+    assert len(set(known.values())) == len(known) and len(seen) == sum(counts.values())
 
 
 def vectors(rnd, n, d):

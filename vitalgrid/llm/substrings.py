@@ -1,7 +1,7 @@
 """Repeated passages by relative Lempel-Ziv parsing.
 
-Every window of 20 words has an anchor, the run of ANCHOR words in it with the
-least hash, which equal windows share. Consecutive windows of one anchor are a
+Every window of 20 words has an anchor, the least hash of a run of ANCHOR words in
+it, which equal windows share. Consecutive windows of one anchor are a
 phrase; a document is a sequence of phrases. All phrases of all documents, sorted
 by anchor, content and place and dealt by range, are the reference: each range is
 one block, and its order is its index. Every document is parsed against every
@@ -17,97 +17,142 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import WORD_BYTES, release, stored, table, whole
+from vitalgrid.llm.common import WORD_BYTES, stored, table, whole
 
 WINDOW = 20  # words
 ANCHOR = 8  # words, less than a window
+SPREAD = WINDOW - ANCHOR + 1  # runs of an anchor's length in a window, and windows in a phrase at most
 SEED = 42
-PART = 1 << 16  # words parsed at once
-KNOWN = 1 << 18  # words whose hashes are remembered by a task
-LONGEST_KNOWN = 64  # bytes
+PIECE = 1 << 18  # bytes of text looked at together
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd
 START, LENGTH = 32, 8  # bits of a packed place: start of a phrase, number of its windows
 
+SOLID = np.ones(256, bool)  # bytes that words are made of
+SOLID[[0x20, *range(0x09, 0x0E)]] = False
 
-class Hashes(dict):
-    """64-bit hashes of words, remembered up to a bound."""
 
-    def __missing__(self, word: bytes) -> int:
-        out = xxhash.xxh64_intdigest(word, SEED)
-        if len(word) <= LONGEST_KNOWN:
-            if len(self) >= KNOWN:
-                self.clear()
-            self[word] = out
-        return out
+def stirred(h: np.ndarray) -> np.ndarray:
+    """The finishing steps of SplitMix64."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
 
 
-def parts(text: bytes, hashes: Hashes, overlap: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Hashes of the words of a text in parts, each with the place of its first word.
+class Runs:
+    """Hashes of runs of a sequence of numbers, as polynomials modulo 2^64, from sums over its beginnings.
 
-    A part starts with the last ``overlap`` words of the one before.
+    Two runs of the same numbers have the same hash wherever they stand.
     """
-    found = (m.group() for m in WORD_BYTES.finditer(text)) if len(text) > PART * 16 else iter(WORD_BYTES.findall(text))
-    at, last = 0, np.zeros(0, np.uint64)
-    while words := list(islice(found, PART)):
-        new = np.concatenate([last, np.array([hashes[w] for w in words], np.uint64)])
-        yield at, new
-        last = new[max(0, len(new) - overlap) :]
-        at += len(new) - len(last)
-
-
-def rolled(hashes: np.ndarray, n: int, base: int) -> np.ndarray:
-    """Hashes of all runs of ``n`` words: polynomials in ``base``, put together from runs of powers of two."""
-    out, have, power = None, 0, hashes
-    width, factor = 1, base
-    rest = n
-    while rest:
-        if rest & 1:
-            # The runs so far, then one of ``width`` words.
-            out = power if out is None else out[: len(hashes) - have - width + 1] * np.uint64(factor) + power[have:]
-            have += width
-        rest >>= 1
-        if rest:
-            power = power[:-width] * np.uint64(factor) + power[width:]
-            width, factor = width * 2, factor * factor % (1 << 64)
-    return out
 
+    powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-def stirred(h: np.ndarray) -> np.ndarray:
-    """The finishing steps of SplitMix64."""
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+    def __init__(self, numbers: np.ndarray, base: int):
+        power, self.inverse = self.tables(base, len(numbers))
+        self.sums = np.zeros(len(numbers) + 1, np.uint64)
+        np.cumsum(numbers * power[: len(numbers)], out=self.sums[1:])
 
+    @classmethod
+    def tables(cls, base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Powers of an odd base and of its inverse."""
+        if len(cls.powers.get(base, [()])[0]) < n:
+            factors = np.ones((2, 1 << max(16, n.bit_length())), np.uint64)
+            factors[:, 1:] = np.array([[base], [pow(base, -1, 1 << 64)]], np.uint64)
+            cls.powers[base] = tuple(np.cumprod(factors, axis=1))
+        return cls.powers[base]
 
-def windows(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent hashes of every window."""
-    return tuple(stirred(rolled(hashes, WINDOW, base)) for base in BASES)
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return (self.sums[end] - self.sums[start]) * self.inverse[start]
 
 
-def phrases(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """anchor, content, first window and number of windows of each phrase of a part with a window."""
-    order = stirred(rolled(hashes, ANCHOR, BASES[0]))
-    least = np.lib.stride_tricks.sliding_window_view(order, WINDOW - ANCHOR + 1).argmin(axis=1) + np.arange(len(hashes) - WINDOW + 1)
-    first = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
-    count = np.diff(np.r_[first, len(least)])
-    one, two = windows(hashes)
-    last = first + count - 1
-    # Less than a window apart, the first and the last window hold all words of the phrase.
-    shape = (count << 8 | (least[first] - first)).astype(np.uint64)
-    content = stirred(stirred(one[first] ^ shape) + two[last] * np.uint64(BASES[0]))
-    return order[least[first]], content, first, count
+def word_hashes(data: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the bytes of texts that start at ``docs``, and where the words of each text begin and the last end."""
+    solid = SOLID[data]
+    cut = np.zeros(len(data) + 1, bool)
+    cut[docs] = cut[-1] = True
+    start = np.flatnonzero(solid & (cut[:-1] | ~np.r_[False, solid[:-1]]))
+    end = np.flatnonzero(solid & (cut[1:] | ~np.r_[solid[1:], False])) + 1
+    hashes = Runs(data.astype(np.uint64) + np.uint64(1), BASES[0]).of(start, end)
+    return stirred(hashes + (end - start).astype(np.uint64) * np.uint64(BASES[1])), np.searchsorted(start, np.r_[docs, len(data)])
 
 
-def signed(x: np.ndarray) -> pa.Array:
-    return pa.array(np.ascontiguousarray(x).view(np.int64))
+class Words:
+    """Hashes of the words of some rows, or of a part of one long row.
+
+    ``rows`` are the numbers of the rows, ``bounds`` where their words begin and
+    the last end, ``base`` the number of the first word here in its text.
+    """
+
+    def __init__(self, rows: np.ndarray, hashes: np.ndarray, bounds: np.ndarray, base: int = 0):
+        self.rows, self.hashes, self.bounds, self.base = rows, hashes, bounds, base
+        self.runs = [Runs(hashes, b) for b in BASES]
+
+    def windows(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two hashes of the windows that start at words of this piece."""
+        return tuple(stirred(runs.of(at, at + WINDOW)) for runs in self.runs)
+
+    def phrases(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """anchor, content, row, first window in the text and number of windows of each phrase."""
+        n = len(self.hashes) - WINDOW + 1
+        if n < 1:
+            return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
+        grams = np.arange(len(self.hashes) - ANCHOR + 1)
+        order = stirred(self.runs[0].of(grams, grams + ANCHOR))
+        least, width = order, 1
+        while width * 2 <= SPREAD:
+            least, width = np.minimum(least[:-width], least[width:]), width * 2
+        least = np.minimum(least[:n], least[SPREAD - width : SPREAD - width + n])
+        doc = np.repeat(np.arange(len(self.rows)), np.diff(self.bounds))
+        whole_ = doc[:n] == doc[WINDOW - 1 :]  # inside one text
+        new = whole_ & np.r_[True, (least[1:] != least[:-1]) | (doc[1:n] != doc[: n - 1])]
+        # Where an anchor stands twice in a window, the first place counts and a phrase ends with it.
+        twice = np.zeros(n + 1, np.int64)
+        for d in range(1, SPREAD + 1):
+            again = np.flatnonzero(order[:-d] == order[d:]) if d < len(order) else grams[:0]
+            np.add.at(twice, np.clip(again + d - SPREAD, 0, n), 1)
+            np.add.at(twice, np.clip(again + 2, 0, n), -1)
+        near = np.flatnonzero(np.cumsum(twice[:n]))
+        if len(near):
+            place = np.full(n, -1)
+            place[near] = near + np.lib.stride_tricks.sliding_window_view(order, SPREAD)[near].argmin(axis=1)
+            new[near[1:]] |= whole_[near[1:]] & (place[near[1:]] != place[near[1:] - 1]) & (place[near[1:] - 1] >= 0)
+        first = np.flatnonzero(new)
+        passed = np.cumsum(whole_)
+        count = np.diff(np.r_[passed[first] - 1, passed[-1]])
+        one, two = self.windows(first)[0], self.windows(first + count - 1)[1]
+        content = stirred(stirred(one ^ count.astype(np.uint64)) + two * np.uint64(BASES[0]))
+        own = doc[first]
+        return least[first], content, self.rows[own], first - self.bounds[own] + self.base, count
+
+
+def pieces(texts: pa.Array) -> Iterator[Words]:
+    """The words of a column of texts, a few at a time; parts of a long text repeat the last words of the part before."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    row = 0
+    while row < len(texts):
+        last = max(row + 1, int(np.searchsorted(offsets, offsets[row] + PIECE, "right")) - 1)
+        if offsets[row + 1] - offsets[row] <= PIECE:
+            here = data[offsets[row] : offsets[last]]
+            yield Words(np.arange(row, last), *word_hashes(here, offsets[row:last] - offsets[row]))
+            row = last
+            continue
+        at, end, seen, before = offsets[row], offsets[row + 1], 0, np.zeros(0, np.uint64)
+        while at < end:
+            to = min(at + PIECE, end)
+            while to < end and SOLID[data[to]]:  # not inside a word
+                blank = np.flatnonzero(~SOLID[data[to : min(to + PIECE, end)]])
+                to = to + int(blank[0]) if len(blank) else min(to + PIECE, end)
+            hashes = np.r_[before, word_hashes(data[at:to], np.zeros(1, np.int64))[0]]
+            yield Words(np.array([row]), hashes, np.array([0, len(hashes)]), seen - len(before))
+            seen += len(hashes) - len(before)
+            before, at = hashes[max(0, len(hashes) - WINDOW + 1) :], to
+        row += 1
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -129,18 +174,13 @@ def all_phrases(keys: DataFrame) -> DataFrame:
     """anchor, content, doc, place of every phrase; ``place`` packs tie, first window and number of windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
         for batch in batches:
-            out = [], [], [], []
-            for doc, tie, text in zip(*(batch.column(i).to_pylist() for i in (0, 1)), batch.column(2)):
-                for at, words in parts(text.as_py(), hashes, WINDOW - 1):
-                    if len(words) >= WINDOW:
-                        anchor, content, first, count = phrases(words)
-                        place = (tie << (START + LENGTH)) + ((first + at) << LENGTH) + count
-                        for to, values in zip(out, (anchor, content, np.full(len(first), doc), place)):
-                            to.append(values.view(np.int64))
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["anchor", "content", "doc", "place"])
+            docs, ties = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for words in pieces(batch.column(2)):
+                anchor, content, row, first, count = words.phrases()
+                place = (ties[row] << (START + LENGTH)) + (first << LENGTH) + count
+                columns = [pa.array(x.view(np.int64)) for x in (anchor, content, docs[row], place)]
+                yield pa.RecordBatch.from_arrays(columns, ["anchor", "content", "doc", "place"])
 
     return keys.select("doc", "tie", "text").mapInArrow(run, "anchor bigint, content bigint, doc bigint, place bigint")
 
@@ -215,21 +255,23 @@ def border_windows(docs: DataFrame) -> DataFrame:
     """one, two, doc, place of every window of the open phrases ``places`` of each of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
         for batch in batches:
-            out = [], [], [], []
-            for doc, tie, text, places in zip(*(batch.column(i).to_pylist() for i in (1, 2)), batch.column(3), batch.column(4)):
-                first, count = unpacked(places.values.to_numpy())
-                wanted = np.unique(np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
-                for at, words in parts(text.as_py(), hashes, WINDOW - 1):
-                    here = wanted[np.searchsorted(wanted, at) : np.searchsorted(wanted, at + len(words) - WINDOW + 1)]
-                    if len(here):
-                        one, two = windows(words)
-                        place = (tie << (START + LENGTH)) + (here << LENGTH) + 1
-                        for to, values in zip(out, (one[here - at], two[here - at], np.full(len(here), doc), place)):
-                            to.append(values.view(np.int64))
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["one", "two", "doc", "place"])
+            docs, ties, lists = batch.column(1).to_numpy(), batch.column(2).to_numpy(), batch.column(4)
+            bounds = np.cumsum(np.r_[0, lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)])
+            first, count = unpacked(lists.flatten().to_numpy())
+            row = np.repeat(np.arange(len(docs)), np.diff(bounds))
+            within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            wanted = np.unique(np.stack([np.repeat(row, count), np.repeat(first, count) + within]), axis=1)
+            for words in pieces(batch.column(3)):
+                part = wanted[:, np.searchsorted(wanted[0], words.rows[0]) : np.searchsorted(wanted[0], words.rows[-1], "right")]
+                own = part[0] - words.rows[0]
+                at = part[1] - words.base + words.bounds[own]
+                here = (at >= words.bounds[own]) & (at + WINDOW <= words.bounds[own + 1])
+                row_, start, at = part[0][here], part[1][here], at[here]
+                one, two = words.windows(at)
+                place = (ties[row_] << (START + LENGTH)) + (start << LENGTH) + 1
+                columns = [pa.array(x.view(np.int64)) for x in (one, two, docs[row_], place)]
+                yield pa.RecordBatch.from_arrays(columns, ["one", "two", "doc", "place"])
 
     return docs.select("doc_id", "doc", "tie", "text", "places").mapInArrow(run, "one bigint, two bigint, doc bigint, place bigint")
 
