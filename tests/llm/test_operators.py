@@ -337,6 +337,62 @@ def test_license_notices_inside_sentences(spark):
     same(licenses.scan(df).select("doc_id", "license"), [(i, name) for i, (_, name) in enumerate(texts)])
 
 
+def test_license_cosines_equal_plain_tfidf(spark):
+    rnd = random.Random(12)
+    notes = [t for texts in licenses.TEMPLATES.values() for t in texts]
+    words = "the of license licensed under copyright a software this spdx public domain gnu foo bar baz reserved rights version 2".split()
+    texts = []
+    for i in range(150):
+        note = rnd.choice(notes).split()
+        note = [w for w in note if rnd.random() > 0.15]
+        fill = lambda n: [rnd.choice(words + [f"x{rnd.randint(0, 40)}"]) for _ in range(rnd.randint(0, n))]
+        texts.append(" ".join(fill(40) + note + fill(40) + (rnd.choice(notes).split() if i % 3 == 0 else [])))
+    texts += ["", "license", "licensed " * 300, "SPDX-License-Identifier: Apache-2.0", "the gnu gpl"]
+    df = spark.createDataFrame([(i, f"f{i}", t) for i, t in enumerate(texts)], "doc_id bigint, path string, text string")
+    found = [r.passage for r in licenses.passages(df).collect()]
+    templates = licenses.notices()
+    total, seen = len(found) + len(templates), Counter()
+    for ws in [p.split() for p in found] + [ws for _, ws in templates]:
+        seen.update(set(ws))
+    idf = {w: np.log((1 + total) / (1 + n)) + 1 for w, n in seen.items()}
+
+    def vector(ws):
+        return {w: n * idf[w] for w, n in Counter(ws).items()}
+
+    def norm(v):
+        return np.sqrt(sum(x * x for x in v.values()))
+
+    expected = {}
+    for p in set(found):
+        ws, cue = p.split(), len(p.split("\n")[0].split())
+        for number, (name, t) in enumerate(templates):
+            n, b = min(len(t), len(ws)), vector(t)
+            for at in range(len(ws) - n + 1):
+                if not at <= cue < at + n and len(ws) > n:
+                    continue
+                run = ws[at : at + n]
+                a = vector(run)
+                cosine = round(float(sum(a[w] * b.get(w, 0.0) for w in a) / norm(a) / norm(b)), 9)
+                if cosine >= 0.6 and re.search(licenses.CUE, " ".join(run)):
+                    key = (licenses.PART_OF_OTHERS.get(name, 0), -cosine, number)
+                    expected[p] = min(expected.get(p, (9,)), (*key, name))
+    got = {r.passage: (r.license, r.cosine) for r in licenses.matches(licenses.passages(df)).collect()}
+    assert got.keys() == expected.keys() and len(got) > 100
+    assert all(got[p][0] == e[3] and abs(got[p][1] + e[1]) < 2e-9 for p, e in expected.items())
+
+
+def test_identifier_lines_and_short_forms(spark):
+    texts = [
+        ("// SPDX-License-Identifier: Apache-2.0", "Apache-2.0"), ("# SPDX-License-Identifier: MIT\nimport os", "MIT"), ("SPDX-License-Identifier: GPL-3.0", "GPL-3.0"),
+        ("This tool is distributed under the GNU GPL v3.", "GPL-3.0"), ("The code is GPLv2 licensed.", "GPL-2.0"), ("Use of this source code is governed by a BSD-style license.", "BSD-style"),
+        ("made available under the terms of the Eclipse Public License 2.0 which is available at", "EPL-2.0"), ("Licensed under the EUPL, Version 1.2 only", "EUPL-1.2"),
+        ("This is free and unencumbered software released into the public domain.", "Unlicense"), ("Distributed under the Boost Software License, Version 1.0. (See accompanying file", "BSL-1.0"),
+        ("SPDX-License-Identifier: NoSuchThing-9.9", None),
+    ]
+    df = spark.createDataFrame([(i, f"d{i}/x", t) for i, (t, _) in enumerate(texts)], "doc_id bigint, path string, text string")
+    same(licenses.scan(df).select("doc_id", "license"), [(i, name) for i, (_, name) in enumerate(texts)])
+
+
 def test_license_words_weigh_by_their_count(spark):
     # Each of these words stands in every passage, so none of them weighs more than a template's.
     df = spark.createDataFrame([(i, "x", f"zebra quagga licensed under the mit license okapi n{i}") for i in range(40)], "doc_id bigint, path string, text string")

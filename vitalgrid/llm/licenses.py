@@ -1,12 +1,14 @@
 """License scans: sparse TF-IDF cosine to templates, then inheritance down the directories.
 
 Windows of a text as long as a template, around words that mention licensing, are
-compared with template notices. A file with a notice of its own has that license;
+compared with template notices. An upper bound of the cosine, from the weights of
+template words alone, leaves few windows whose other words are looked up. A file with a notice of its own has that license;
 others take the one of the nearest directory above that holds a licence file.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
@@ -36,19 +38,30 @@ TEMPLATES = {
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License"],
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution ShareAlike 4.0 International License"],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution NonCommercial 4.0 International License"],
+    "EPL-2.0": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0", "Eclipse Public License v 2.0"],
+    "EUPL-1.2": ["Licensed under the EUPL, Version 1.2", "European Union Public Licence v. 1.2"],
+    "Unlicense": ["This is free and unencumbered software released into the public domain", "Released under the Unlicense"],
+    "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0", "Boost Software License Version 1.0 August 17th, 2003"],
+    "Zlib": ["Licensed under the zlib License", "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose"],
     "CC0-1.0": ["Dedicated to the public domain under CC0 1.0 Universal", "Creative Commons Legal Code CC0 1.0 Universal"],
+    "BSD-style": ["BSD-style license", "Licensed under a BSD-style license"],
     "proprietary": ["All rights reserved."],
 }
+for number in (2, 3):
+    TEMPLATES[f"GPL-{number}.0"] += [text.format(number) for text in ("Distributed under the GNU GPL v{}", "Licensed under the GPLv{}", "GPLv{} licensed")]
+SPDX = [name for name in TEMPLATES if name not in ("proprietary", "BSD-style")]  # named so on identifier lines
 # Notices that are also part of other licenses' texts: they stand where no other notice is found.
-PART_OF_OTHERS = {"BSD-2-Clause": 1, "proprietary": 2}
-CUE = r"licen[sc]|copyright|rights reserved|public domain|redistribut|spdx|free of charge|endorse or promote|cc0"
-CUE_TOKEN = r"licen[sc]|copyright|redistribut|spdx|cc0|^(promote|reserved|domain|charge)$"
+PART_OF_OTHERS = {"BSD-2-Clause": 1, "BSD-style": 2, "proprietary": 3}
+CUE = r"licen[sc]|gpl|copyright|rights reserved|public domain|redistribut|spdx|free of charge|endorse or promote|cc0"
+CUE_TOKEN = r"licen[sc]|gpl|copyright|redistribut|spdx|cc0|^(promote|reserved|domain|charge)$"
 TOKEN = r"[a-z0-9]+(?:[-.][a-z0-9]+)*"
 LEAST_COSINE = 0.6
+SLACK = 1e-9  # against rounding where a bound is compared
 
 
 def notices() -> list[tuple[str, list[str]]]:
-    return [(name, re.findall(TOKEN, text.lower())) for name, texts in TEMPLATES.items() for text in texts]
+    texts = [(name, text) for name, own in TEMPLATES.items() for text in own] + [(name, f"SPDX-License-Identifier: {name}") for name in SPDX]
+    return [(name, re.findall(TOKEN, text.lower())) for name, text in texts]
 
 
 REACH = max(len(words) for _, words in notices()) - 1  # words to each side of a licensing word
@@ -71,52 +84,90 @@ def passages(docs: DataFrame) -> DataFrame:
     return rows.withColumn("passage", F.explode(F.filter(F.transform(w, around), lambda x: x.isNotNull()))).drop("_words")
 
 
-def windows(distinct: DataFrame) -> DataFrame:
-    """passage, size, window: every run of words that has a template's length and the passage's licensing word.
+def reference(spark: SparkSession, idf: DataFrame) -> DataFrame:
+    """One row: the words of the templates with their place, their squared weights, and each template's own products.
 
-    Passages shorter than a template are one window.
+    All of it is as large as the templates are, whatever the corpus holds.
     """
-    sizes = F.array(*[F.lit(n) for n in sorted({len(words) for _, words in notices()})])
-    parts = F.split("passage", "\n")
-    rows = distinct.select("passage", F.size(F.filter(F.split(parts[0], " "), lambda x: x != "")).alias("cue"), F.split(F.trim(F.translate("passage", "\n", " ")), " ").alias("w"), F.explode(sizes).alias("size"))
-    last = F.greatest(F.least("cue", F.size("w") - F.col("size")), F.lit(0))
-    first = F.least(F.greatest(F.col("cue") - F.col("size") + 1, F.lit(0)), last)
-    rows = rows.select("passage", "size", "w", F.explode(F.sequence(first, last)).alias("at"))
-    return rows.select("passage", "size", F.array_join(F.slice("w", F.col("at") + 1, F.col("size")), " ").alias("window")).filter(F.col("window").rlike(CUE))
+    templates = notices()
+    vocabulary = sorted({t for _, ws in templates for t in ws})
+    known = {r.word: r.idf for r in idf.filter(F.col("word").isin(vocabulary)).collect()}
+    at = {t: i + 1 for i, t in enumerate(vocabulary)}
+    rows = []
+    for number, (name, ws) in enumerate(templates):
+        times = Counter(ws)
+        scale = math.sqrt(sum((n * known[t]) ** 2 for t, n in times.items()))
+        rows.append((number, name, len(ws), scale, [times[t] * known[t] ** 2 for t in vocabulary]))
+    schema = "one int, places map<string, int>, squares array<double>, templates array<struct<template int, license string, length int, scale double, products array<double>>>"
+    return spark.createDataFrame([(1, at, [known[t] ** 2 for t in vocabulary], rows)], schema)
+
+
+def candidates(distinct: DataFrame, constants: DataFrame) -> DataFrame:
+    """id, template, license, scale, dot, start, length, words of the windows that may come near enough to a template.
+
+    A window is a run of a template's length around the passage's licensing word;
+    passages shorter than a template are one window. Its product with a template
+    needs the weights of template words only. Its length is at least that of its
+    template words, once each time they stand there, with 1 for any other word,
+    which no word weighs less than: product over that length is never less than
+    the cosine, so no match is lost.
+    """
+    halves = F.split("passage", "\n")
+    rows = distinct.select(
+        "id",
+        F.size(F.filter(F.split(halves[0], " "), lambda x: x != "")).alias("cue"),
+        F.split(F.trim(F.translate("passage", "\n", " ")), " ").alias("words"),
+        F.lit(1).alias("one"),
+    )
+    rows = rows.join(F.broadcast(constants), "one")
+    rows = once(rows, "known", F.transform("words", lambda w: F.coalesce(F.try_element_at("places", w), F.lit(0))))
+    known, squares = F.col("known"), F.col("squares")
+
+    def total(run: Column, values: Column, other: float) -> Column:
+        return F.aggregate(run, F.lit(0.0), lambda a, k: a + F.when(k > 0, F.get(values, k - 1)).otherwise(F.lit(other)))
+
+    def length(t: Column) -> Column:
+        return F.least(t["length"], F.size("words"))
+
+    # The whole passage gives no window less than this.
+    hits = F.filter("templates", lambda t: total(known, t["products"], 0.0) >= (LEAST_COSINE - SLACK) * t["scale"] * F.sqrt(length(t).cast("double")))
+    rows = rows.select("id", "cue", "words", "known", "squares", F.explode(hits).alias("t")).select("*", length(F.col("t")).alias("length"))
+    last = F.greatest(F.least("cue", F.size("words") - F.col("length")), F.lit(0))
+    first = F.least(F.greatest(F.col("cue") - F.col("length") + 1, F.lit(0)), last)
+    rows = rows.select("id", "words", "known", "squares", "t", "length", F.explode(F.sequence(first, last)).alias("start"))
+    rows = once(rows, "run", F.slice("known", F.col("start") + 1, F.col("length"))).select(
+        "id", "words", "t", "length", "start", total(F.col("run"), F.col("t.products"), 0.0).alias("dot"), total(F.col("run"), squares, 1.0).alias("least")
+    )
+    near = rows.filter(F.col("dot") >= (LEAST_COSINE - SLACK) * F.col("t.scale") * F.sqrt("least"))
+    near = near.select("id", "t.template", "t.license", "t.scale", "dot", "start", "length", F.slice("words", F.col("start") + 1, F.col("length")).alias("words"))
+    return near.filter(F.array_join("words", " ").rlike(CUE))
 
 
 def matches(found: DataFrame) -> DataFrame:
     """passage, license, cosine, place of the distinct passages that come near enough to a template.
 
     Document frequencies of all words are counted over all passages found and the
-    templates, and joined to the words of windows. Of the matches of a passage
-    that with the least ``place`` in ``PART_OF_OTHERS``, then the nearest counts.
+    templates; the words of windows that may be near enough get theirs by a join.
+    Of the matches of a passage that with the least ``place`` in
+    ``PART_OF_OTHERS``, then the nearest, then that of the first template counts.
     """
     spark = found.sparkSession
     templates = notices()
-    distinct = stored(found.groupBy("passage").agg(F.count(F.lit(1)).alias("times")))
+    distinct = stored(found.groupBy("passage").agg(F.count(F.lit(1)).alias("times")).withColumn("id", F.monotonically_increasing_id()))
     words = distinct.select("times", F.explode(F.array_distinct(F.split(F.trim(F.translate("passage", "\n", " ")), " "))).alias("word"))
     own = spark.createDataFrame([(1, t) for _, words_ in templates for t in set(words_)], "times bigint, word string")
     total = (distinct.agg(F.sum("times")).first()[0] or 0) + len(templates)
     idf = stored(words.union(own).groupBy("word").agg((F.log((1 + total) / (1 + F.sum("times"))) + 1).alias("idf")))
-    rows = [(i, name, len(ws), t, n) for i, (name, ws) in enumerate(templates) for t, n in Counter(ws).items()]
-    weights = spark.createDataFrame(rows, "template int, license string, length int, term string, n int").join(idf, F.col("term") == F.col("word"))
-    weights = stored(weights.select("template", "license", "length", "term", (F.col("n") * F.col("idf")).alias("weight")))
-    lengths = weights.groupBy(F.col("template").alias("_template")).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("scale"))
-
-    placed = stored(windows(distinct))
-    tokens = placed.select("size", "window").distinct().select("size", "window", F.explode(F.split("window", " ")).alias("token"))
-    tokens = tokens.groupBy("size", "window", "token").agg(F.count(F.lit(1)).alias("tf"))
-    weighed = stored(tokens.join(idf, F.col("token") == F.col("word")).select("size", "window", "token", (F.col("tf") * F.col("idf")).alias("w")))
-    norms = weighed.groupBy(F.col("size").alias("_size"), F.col("window").alias("_window")).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dots = weighed.join(F.broadcast(weights), (F.col("token") == F.col("term")) & (F.col("size") == F.col("length")))
-    dots = dots.groupBy("size", "window", "template", "license").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
-    near = dots.join(norms, (F.col("size") == F.col("_size")) & (F.col("window") == F.col("_window"))).join(F.broadcast(lengths), F.col("template") == F.col("_template"))
-    near = near.withColumn("cosine", F.round(F.col("dot") / F.col("norm") / F.col("scale"), 9)).filter(F.col("cosine") >= LEAST_COSINE)
-    best = F.min(F.struct(place(F.col("license")).alias("place"), (-F.col("cosine")).alias("far"), "template", "license")).alias("best")  # of equal ones the first template
-    near = near.groupBy(F.col("size").alias("_size"), F.col("window").alias("_window")).agg(best)
-    both = placed.join(near, (F.col("size") == F.col("_size")) & (F.col("window") == F.col("_window")))
-    return both.groupBy("passage").agg(F.min("best").alias("best")).select("passage", "best.license", (-F.col("best.far")).alias("cosine"), "best.place")
+
+    near = stored(candidates(distinct, reference(spark, idf)))
+    key = ["id", "start", "length"]
+    tokens = near.dropDuplicates(key).select(*key, F.explode("words").alias("word")).groupBy(*key, "word").agg(F.count(F.lit(1)).alias("tf"))
+    weight = F.col("tf") * F.col("idf")
+    norms = tokens.join(idf, "word").groupBy(*key).agg(F.sqrt(F.sum(weight * weight)).alias("norm"))
+    near = near.join(norms, key).withColumn("cosine", F.round(F.col("dot") / F.col("norm") / F.col("scale"), 9)).filter(F.col("cosine") >= LEAST_COSINE)
+    best = F.min(F.struct(place(F.col("license")).alias("place"), (-F.col("cosine")).alias("far"), "template", "license")).alias("best")
+    chosen = near.groupBy("id").agg(best)
+    return distinct.join(chosen, "id").select("passage", "best.license", (-F.col("best.far")).alias("cosine"), "best.place")
 
 
 def place(license: Column) -> Column:
