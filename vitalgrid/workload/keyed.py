@@ -12,7 +12,7 @@ from vitalgrid.workload import table
 
 
 def latest_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """A snapshot of the first half of the month, upserted with the last third."""
+    """A snapshot of the first half of the month, upserted with one of the whole month, signups apart."""
     events = table(spark, sf, "events").select(
         "user_id", "ts", "event_id", "event_type", F.when(F.col("event_type") != "error", F.col("value")).alias("value"), "props"
     )
@@ -23,8 +23,9 @@ def latest_upsert(spark: SparkSession, sf: str) -> DataFrame:
 
     day = F.dayofmonth("ts")
     old = snapshot(events.where(day <= 15), 15).withColumn("source", F.lit("OLD"))
-    new = snapshot(events.where((day >= 21) & (F.col("event_type") != "signup")), 30).withColumn("source", F.lit("NEW"))
-    return merge.upsert(old, new, ["user_id"], ["event_id", "event_type", "value", "updated_at"])
+    new = snapshot(events, 30).withColumn("source", F.lit("NEW"))
+    # A user whose last event is a signup keeps the first snapshot where there is one.
+    return merge.upsert(old, new.where(F.col("event_type") != "signup"), ["user_id"], ["event_id", "event_type", "value", "updated_at"])
 
 
 def upsert_subset_cols(spark: SparkSession, sf: str) -> DataFrame:
@@ -66,10 +67,9 @@ def slice_replace(spark: SparkSession, sf: str) -> DataFrame:
     rows = _order_rows(spark, sf)
     old = rows.where(F.col("year") <= 1999).withColumn("release", F.lit("A"))
     new = rows.where(
-        (F.col("year") >= 1998) & (F.col("status") != "O") & (F.col("o_orderpriority") == "1-URGENT")
+        (F.col("year") > 1999) | ((F.col("year") >= 1998) & (F.col("status") != "O") & (F.col("o_orderpriority") == "1-URGENT"))
     ).withColumn("release", F.lit("B"))
-    merged = merge.replace_slices(old, new, ["status", "year"])
-    return merged.groupBy("status", "year", "release").agg(F.count("*").alias("rows"), F.sum("cents").alias("cents"))
+    return merge.replace_slices(old, new, ["status", "year"])
 
 
 def _catalog(spark: SparkSession, sf: str) -> DataFrame:
@@ -135,9 +135,7 @@ def schema_evolve(spark: SparkSession, sf: str) -> DataFrame:
     )
     new = merge.evolve(old, schemas.FERTILITY.schema, {"variant_short_name": "MEDIAN"})
     again = merge.evolve(new, schemas.FERTILITY.schema, {"variant_short_name": "MEDIAN"})
-    return again.groupBy("iso3", "year", "variant_short_name", "release").agg(
-        F.count("*").alias("rows"), F.sum("asfr").alias("asfr"), F.count("created_at").alias("stamped")
-    )
+    return again.withColumn("created_at", F.col("created_at").cast("string"))
 
 
 def run_points(spark: SparkSession, sf: str) -> DataFrame:
@@ -145,9 +143,7 @@ def run_points(spark: SparkSession, sf: str) -> DataFrame:
     from vitalgrid.plans import runs
 
     newest = runs.newest_runs(_runs(spark, sf))
-    return runs.run_points(newest, _points(spark, sf)).groupBy("run_id", "iso3", "year").agg(
-        F.count("*").alias("points"), F.sum("infected").alias("infected")
-    )
+    return runs.run_points(newest, _points(spark, sf)).select("run_id", "iso3", "year", "t", "infected")
 
 
 def _runs(spark: SparkSession, sf: str) -> DataFrame:
@@ -167,8 +163,7 @@ def _points(spark: SparkSession, sf: str) -> DataFrame:
 def run_delete(spark: SparkSession, sf: str) -> DataFrame:
     """Points left after the runs with status P are deleted."""
     left = _runs(spark, sf).where(F.col("o_orderstatus") != "P")
-    kept = merge.cascade_delete(left, _points(spark, sf), "id", "run_id")
-    return kept.groupBy("t").agg(F.count("*").alias("points"), F.sum("infected").alias("infected"))
+    return merge.cascade_delete(left, _points(spark, sf), "id", "run_id")
 
 
 QUERIES = {
@@ -218,10 +213,11 @@ o AS (
   SELECT DISTINCT ON (user_id) user_id, event_id, event_type, v AS value, 15 AS updated_at, 'OLD' AS source
   FROM e WHERE day(ts) <= 15 ORDER BY user_id, ts DESC, event_id DESC
 ),
-n AS (
+every AS (
   SELECT DISTINCT ON (user_id) user_id, event_id, event_type, v AS value, 30 AS updated_at, 'NEW' AS source
-  FROM e WHERE day(ts) >= 21 AND event_type <> 'signup' ORDER BY user_id, ts DESC, event_id DESC
-)
+  FROM e ORDER BY user_id, ts DESC, event_id DESC
+),
+n AS (SELECT * FROM every WHERE event_type <> 'signup')
 SELECT coalesce(n.user_id, o.user_id) AS user_id,
        CASE WHEN n.user_id IS NOT NULL THEN n.event_id ELSE o.event_id END AS event_id,
        CASE WHEN n.user_id IS NOT NULL THEN n.event_type ELSE o.event_type END AS event_type,
@@ -255,15 +251,15 @@ SELECT key, first_order FROM (
     "slice_replace": """
 WITH r AS (
   SELECT o_orderstatus AS status, CAST(year(o_orderdate) AS INTEGER) AS year,
-         CAST(round(o_totalprice * 100) AS BIGINT) AS cents, o_orderpriority FROM orders
+         CAST(round(o_totalprice * 100) AS BIGINT) AS cents, o_orderpriority, o_orderkey FROM orders
 ),
-n AS (SELECT *, 'B' AS release FROM r WHERE year >= 1998 AND status <> 'O' AND o_orderpriority = '1-URGENT'),
+n AS (SELECT *, 'B' AS release FROM r WHERE year > 1999 OR (year >= 1998 AND status <> 'O' AND o_orderpriority = '1-URGENT')),
 merged AS (
   SELECT *, 'A' AS release FROM r
   WHERE year <= 1999 AND (status, year) NOT IN (SELECT (status, year) FROM n)
   UNION ALL SELECT * FROM n
 )
-SELECT status, year, release, count(*) AS rows, CAST(sum(cents) AS BIGINT) AS cents FROM merged GROUP BY ALL""",
+SELECT * FROM merged""",
     "catalog_replace": f"""
 WITH {_CATALOG}, {_STORED}
 SELECT stage, filename, run_id, sha256, size_bytes, content_type, lo_oid, exact_total,
@@ -287,17 +283,16 @@ SELECT id, stage, c.filename,
 FROM catalog c LEFT JOIN totals t ON c.filename = t.filename""",
     "schema_evolve": """
 SELECT o_orderpriority AS iso3, CAST(year(o_orderdate) AS INTEGER) AS year, 'MEDIAN' AS variant_short_name,
-       o_orderstatus AS release, count(*) AS rows, sum(round(o_totalprice)) AS asfr, CAST(0 AS BIGINT) AS stamped
-FROM orders GROUP BY ALL""",
+       15 AS age_min, 19 AS age_max, round(o_totalprice) AS asfr, 'UN_WPP' AS source, o_orderstatus AS release, CAST(NULL AS VARCHAR) AS created_at
+FROM orders""",
     "run_points": """
 WITH newest AS (
   SELECT DISTINCT ON (o_custkey, year(o_orderdate)) o_orderkey, o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year
   FROM orders ORDER BY o_custkey, year(o_orderdate), o_orderdate DESC, o_orderkey DESC
 )
-SELECT o_orderkey AS run_id, o_custkey AS iso3, year, count(*) AS points,
-       CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS infected
-FROM newest JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL""",
+SELECT o_orderkey AS run_id, o_custkey AS iso3, year, l_linenumber AS t, CAST(l_quantity AS BIGINT) AS infected
+FROM newest JOIN lineitem ON l_orderkey = o_orderkey""",
     "run_delete": """
-SELECT l_linenumber AS t, count(*) AS points, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS infected
-FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') GROUP BY ALL""",
+SELECT l_orderkey AS run_id, l_linenumber AS t, CAST(l_quantity AS BIGINT) AS infected
+FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')""",
 }
