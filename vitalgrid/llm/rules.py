@@ -7,6 +7,7 @@ document's verdict is its mean ratio against a fixed threshold.
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from vitalgrid.llm.common import WORD, table, whole, words
 
 BUCKETS = 1 << 14
-MOST_TRUSTED = 8192  # trusted documents that the target is estimated from: those of least hash of the id
+UNIT = 1 << 32  # log ratios are added as whole numbers of 1 / UNIT, so that no order of addition changes a sum
 THRESHOLD = -0.1  # mean log ratio per n-gram
 SMOOTHING = 1.0  # added to each bucket's count
 LEAST_WORDS = 50
@@ -102,18 +103,18 @@ def judge(docs: DataFrame, ratios: list[float], threshold: float = THRESHOLD) ->
     counts as empty: no words, log_ratio zero, base_failed. Equal texts get equal
     verdicts; an empty table gives no rows; other columns are not looked at.
     """
-    weights = F.from_json(F.lit("[" + ",".join(map(repr, ratios)) + "]"), "array<double>")
+    weights = F.from_json(F.lit(json.dumps([round(r * UNIT) for r in ratios])), "array<bigint>")
     rows = once(docs.select("doc_id", whole().alias("body")), "w", words(F.col("body")))
     rows = base_counts(rows).withColumn("row", F.monotonically_increasing_id())
     kept = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     # The words of a row are summed in its task; one row a document is shuffled.
     grams = rows.select("row", *kept, F.explode_outer(neighbours(F.col("w"), 2)).alias("x"))
-    weight = F.when(F.col("x.x0").isNull(), 0.0).otherwise(F.get(weights, bucket("x.x0"))) + F.when(F.col("x.x1").isNull(), 0.0).otherwise(
+    weight = F.when(F.col("x.x0").isNull(), 0).otherwise(F.get(weights, bucket("x.x0"))) + F.when(F.col("x.x1").isNull(), 0).otherwise(
         F.get(weights, bucket("x.x0", "x.x1"))
     )
     summed = grams.groupBy("row").agg(*[F.first(c).alias(c) for c in kept], F.sum(weight).alias("total"))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    ratio = F.col("total") / F.greatest(2 * F.col("n_words") - 1, F.lit(1))
+    ratio = F.col("total") / UNIT / F.greatest(2 * F.col("n_words") - 1, F.lit(1))
     return (
         summed.withColumns({"base_failed": failed, "log_ratio": ratio})
         .withColumn("kept", ~F.col("base_failed") & (F.col("log_ratio") >= threshold))
@@ -121,11 +122,10 @@ def judge(docs: DataFrame, ratios: list[float], threshold: float = THRESHOLD) ->
     )
 
 
-def trusted_documents(docs: DataFrame, labels: DataFrame, most: int = MOST_TRUSTED) -> DataFrame:
-    """Documents labelled good and not toxic, up to ``most`` of them; that many ids are broadcast."""
+def trusted_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """All documents labelled good and not toxic, once however often the label is repeated."""
     good = labels.filter("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select(F.col("doc_id").alias("_id"))
-    sample = good.distinct().orderBy(F.xxhash64("_id"), "_id").limit(most)
-    return docs.join(F.broadcast(sample), F.col("doc_id") == F.col("_id"), "left_semi")
+    return docs.join(good, F.col("doc_id") == F.col("_id"), "left_semi")
 
 
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:

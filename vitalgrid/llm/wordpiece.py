@@ -22,6 +22,7 @@ from vitalgrid.llm.common import WORD_BYTES, table, whole
 VOCABULARY = "piece_bpe_32k.model"
 BEGIN = "▁"  # marks pieces that begin a word in the vocabulary file
 REMEMBERED = 200_000  # distinct words a task keeps; beyond that it starts anew
+LONGEST_REMEMBERED = 64  # bytes
 ROOT, INNER = 0, 1
 
 
@@ -96,9 +97,10 @@ class Counted(dict):
 
     def __missing__(self, word: bytes) -> int:
         n = self.automaton.count(word.decode("utf-8", "replace"))
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = n
+        if len(word) <= LONGEST_REMEMBERED:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = n
         return n
 
 
