@@ -13,12 +13,18 @@ from vitalgrid.refdata import (
     FERTILE_AGES,
 )
 
+
 def bin_from_label(label: Column) -> Column:
     """struct(age_min, age_max) of a label such as 40-44 (hyphen or en dash), NULL where it is not a range."""
-    ends = F.split(F.translate(label, "–", "-"), "-")
-    whole = lambda i: F.when(F.trim(F.get(ends, i)).rlike(r"^\d+$"), F.trim(F.get(ends, i)).try_cast("int"))
-    digits = F.size(F.filter(ends, lambda x: F.regexp_replace(x, r"\s", "").rlike(r"^[0-9]+$"))) == 2
-    return F.when((F.size(ends) == 2) & digits, F.struct(whole(F.lit(0)).alias("age_min"), whole(F.lit(1)).alias("age_max")))
+    text = F.translate(label, "–", "-")
+    one_dash = F.length(text) - F.length(F.translate(text, "-", "")) == 1
+
+    def end(part: int) -> Column:
+        digits = clean.strip(F.split_part(text, F.lit("-"), F.lit(part)))
+        return F.when(~digits.startswith("+"), digits.try_cast("int"))
+
+    low, high = end(1), end(2)
+    return F.when(one_dash & low.isNotNull() & high.isNotNull(), F.struct(low.alias("age_min"), high.alias("age_max")))
 
 
 def parse_bin(has_start: Column, start: Column, has_end: Column, end: Column, label: Column) -> Column:

@@ -18,7 +18,8 @@ def store(
     """The catalog after storing files: a file replaces its older entries.
 
     Of several files of one name the last by ``order`` stays. New rows get ids
-    above the stored ones and ``created_at``, where the catalog has it.
+    above the stored ones and ``created_at``, where the catalog has it; two loads
+    at the same time would give equal ids, so one writer at a time.
     """
     found = found.withColumn("_name", files.base_name(F.col("path")))
     new = cat.entries(pick.last_write_wins(found, ["_name"], order) if order else found, stage, run_id)
