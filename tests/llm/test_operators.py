@@ -378,6 +378,9 @@ def test_license_cosines_equal_plain_tfidf(spark):
                     expected[p] = min(expected.get(p, (9,)), (*key, name))
     got = {r.passage: (r.license, r.cosine) for r in licenses.matches(licenses.passages(df)).collect()}
     assert got.keys() == expected.keys() and len(got) > 100
+    near = licenses.candidates(licenses.passages(df).select("passage", F.lit(1).alias("id")), licenses.reference(spark.createDataFrame([(w, float(x)) for w, x in idf.items()], "word string, idf double")))
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "Arrow", "NestedLoop", "Cartesian"))
     assert all(got[p][0] == e[3] and abs(got[p][1] + e[1]) < 2e-9 for p, e in expected.items())
 
 

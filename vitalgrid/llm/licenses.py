@@ -8,6 +8,7 @@ others take the one of the nearest directory above that holds a licence file.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections import Counter
@@ -84,25 +85,28 @@ def passages(docs: DataFrame) -> DataFrame:
     return rows.withColumn("passage", F.explode(F.filter(F.transform(w, around), lambda x: x.isNotNull()))).drop("_words")
 
 
-def reference(spark: SparkSession, idf: DataFrame) -> DataFrame:
-    """One row: the words of the templates with their place, their squared weights, and each template's own products.
+def reference(idf: DataFrame) -> tuple[Column, Column, Column]:
+    """The place of each word of the templates, their squared weights, and the templates with their own products, as constants.
 
     All of it is as large as the templates are, whatever the corpus holds.
     """
     templates = notices()
     vocabulary = sorted({t for _, ws in templates for t in ws})
     known = {r.word: r.idf for r in idf.filter(F.col("word").isin(vocabulary)).collect()}
-    at = {t: i + 1 for i, t in enumerate(vocabulary)}
     rows = []
     for number, (name, ws) in enumerate(templates):
         times = Counter(ws)
         scale = math.sqrt(sum((n * known[t]) ** 2 for t, n in times.items()))
-        rows.append((number, name, len(ws), scale, [times[t] * known[t] ** 2 for t in vocabulary]))
-    schema = "one int, places map<string, int>, squares array<double>, templates array<struct<template int, license string, length int, scale double, products array<double>>>"
-    return spark.createDataFrame([(1, at, [known[t] ** 2 for t in vocabulary], rows)], schema)
+        rows.append({"template": number, "license": name, "length": len(ws), "scale": scale, "products": [times[t] * known[t] ** 2 for t in vocabulary]})
+    constant = lambda value, kind: F.from_json(F.lit(json.dumps(value)), kind)
+    return (
+        constant({t: i + 1 for i, t in enumerate(vocabulary)}, "map<string, int>"),
+        constant([known[t] ** 2 for t in vocabulary], "array<double>"),
+        constant(rows, "array<struct<template int, license string, length int, scale double, products array<double>>>"),
+    )
 
 
-def candidates(distinct: DataFrame, constants: DataFrame) -> DataFrame:
+def candidates(distinct: DataFrame, constants: tuple[Column, Column, Column]) -> DataFrame:
     """id, template, license, scale, dot, start, length, words of the windows that may come near enough to a template.
 
     A window is a run of a template's length around the passage's licensing word;
@@ -117,11 +121,10 @@ def candidates(distinct: DataFrame, constants: DataFrame) -> DataFrame:
         "id",
         F.size(F.filter(F.split(halves[0], " "), lambda x: x != "")).alias("cue"),
         F.split(F.trim(F.translate("passage", "\n", " ")), " ").alias("words"),
-        F.lit(1).alias("one"),
     )
-    rows = rows.join(F.broadcast(constants), "one")
-    rows = once(rows, "known", F.transform("words", lambda w: F.coalesce(F.try_element_at("places", w), F.lit(0))))
-    known, squares = F.col("known"), F.col("squares")
+    places, squares, templates = constants
+    rows = once(rows, "known", F.transform("words", lambda w: F.coalesce(F.try_element_at(places, w), F.lit(0))))
+    known = F.col("known")
 
     def total(run: Column, values: Column, other: float) -> Column:
         return F.aggregate(run, F.lit(0.0), lambda a, k: a + F.when(k > 0, F.get(values, k - 1)).otherwise(F.lit(other)))
@@ -130,11 +133,11 @@ def candidates(distinct: DataFrame, constants: DataFrame) -> DataFrame:
         return F.least(t["length"], F.size("words"))
 
     # The whole passage gives no window less than this.
-    hits = F.filter("templates", lambda t: total(known, t["products"], 0.0) >= (LEAST_COSINE - SLACK) * t["scale"] * F.sqrt(length(t).cast("double")))
-    rows = rows.select("id", "cue", "words", "known", "squares", F.explode(hits).alias("t")).select("*", length(F.col("t")).alias("length"))
+    hits = F.filter(templates, lambda t: total(known, t["products"], 0.0) >= (LEAST_COSINE - SLACK) * t["scale"] * F.sqrt(length(t).cast("double")))
+    rows = rows.select("id", "cue", "words", "known", F.explode(hits).alias("t")).select("*", length(F.col("t")).alias("length"))
     last = F.greatest(F.least("cue", F.size("words") - F.col("length")), F.lit(0))
     first = F.least(F.greatest(F.col("cue") - F.col("length") + 1, F.lit(0)), last)
-    rows = rows.select("id", "words", "known", "squares", "t", "length", F.explode(F.sequence(first, last)).alias("start"))
+    rows = rows.select("id", "words", "known", "t", "length", F.explode(F.sequence(first, last)).alias("start"))
     rows = once(rows, "run", F.slice("known", F.col("start") + 1, F.col("length"))).select(
         "id", "words", "t", "length", "start", total(F.col("run"), F.col("t.products"), 0.0).alias("dot"), total(F.col("run"), squares, 1.0).alias("least")
     )
@@ -159,7 +162,7 @@ def matches(found: DataFrame) -> DataFrame:
     total = (distinct.agg(F.sum("times")).first()[0] or 0) + len(templates)
     idf = stored(words.union(own).groupBy("word").agg((F.log((1 + total) / (1 + F.sum("times"))) + 1).alias("idf")))
 
-    near = stored(candidates(distinct, reference(spark, idf)))
+    near = stored(candidates(distinct, reference(idf)))
     key = ["id", "start", "length"]
     tokens = near.dropDuplicates(key).select(*key, F.explode("words").alias("word")).groupBy(*key, "word").agg(F.count(F.lit(1)).alias("tf"))
     weight = F.col("tf") * F.col("idf")
