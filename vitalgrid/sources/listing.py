@@ -46,7 +46,9 @@ def year_cogs(listing: DataFrame, year: int, root: str | None = None) -> DataFra
     name = files.base_name(F.col("path"))
     found = listing.where(files.is_year_cog(name, year))
     if root is not None:
-        found = found.where(files.folder(F.col("path")) == fs.qualified(listing.sparkSession, root))
+        # Scans name paths with their file system; a manifest may not.
+        names = {root.rstrip("/"), fs.qualified(listing.sparkSession, root)}
+        found = found.where(files.folder(F.col("path")).isin(sorted(names)))
     return found.orderBy("path")
 
 
