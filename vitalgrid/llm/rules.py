@@ -123,9 +123,12 @@ def judge(docs: DataFrame, ratios: list[float], threshold: float = THRESHOLD) ->
 
 
 def trusted_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """All documents labelled good and not toxic, once however often the label is repeated."""
+    """All documents labelled good and not toxic, once however often the label is repeated.
+
+    Their number grows with the corpus, so ids and texts meet in a shuffle at every size.
+    """
     good = labels.filter("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select(F.col("doc_id").alias("_id"))
-    return docs.join(good, F.col("doc_id") == F.col("_id"), "left_semi")
+    return docs.join(good.hint("merge"), F.col("doc_id") == F.col("_id"), "left_semi")
 
 
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
