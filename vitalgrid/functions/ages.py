@@ -16,15 +16,14 @@ from vitalgrid.refdata import (
 
 def bin_from_label(label: Column) -> Column:
     """struct(age_min, age_max) of a label such as 40-44 (hyphen or en dash), NULL where it is not a range."""
-    text = F.translate(label, "–", "-")
-    one_dash = F.length(text) - F.length(F.translate(text, "-", "")) == 1
+    # Lambdas hold what is used several times, so that nothing is computed twice.
+    numbers = F.transform(F.split(F.translate(label, "–", "-"), "-"), lambda part: F.when(~part.contains("+"), part.try_cast("int")))
 
-    def end(part: int) -> Column:
-        digits = clean.strip(F.split_part(text, F.lit("-"), F.lit(part)))
-        return F.when(~digits.startswith("+"), digits.try_cast("int"))
+    def ends(n: Column) -> Column:
+        low, high = F.get(n, F.lit(0)), F.get(n, F.lit(1))
+        return F.when((F.size(n) == 2) & low.isNotNull() & high.isNotNull(), F.struct(low.alias("age_min"), high.alias("age_max")))
 
-    low, high = end(1), end(2)
-    return F.when(one_dash & low.isNotNull() & high.isNotNull(), F.struct(low.alias("age_min"), high.alias("age_max")))
+    return F.get(F.transform(F.array(numbers), ends), F.lit(0))
 
 
 def parse_bin(has_start: Column, start: Column, has_end: Column, end: Column, label: Column) -> Column:
