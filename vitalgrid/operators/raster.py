@@ -143,20 +143,29 @@ def _pieces(tiles: DataFrame, tile_height: int, tile_width: int, nodata: float,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            names = batch.column(0).to_pylist()
+            row, col, width, height = (batch.column(i).to_numpy().astype(np.int64) for i in range(1, 5))
+            values, lengths = batch.column(5).flatten(), batch.column(5).value_lengths().to_numpy(zero_copy_only=False)
+            cells = values.fill_null(0).to_numpy(zero_copy_only=False).astype(np.float64)
+            valid = ~values.is_null().to_numpy(zero_copy_only=False) & (cells != nodata)
+            cells, starts = np.where(valid, cells, 0.0), np.cumsum(lengths) - lengths
+            row0, col0 = row * tile_height, col * tile_width
             made = []
-            for name, row, col, width, height, values in zip(*(batch.column(i).to_pylist() for i in range(5)), batch.column(5)):
-                nulls = values.values.is_null().to_numpy(zero_copy_only=False)
-                cells = values.values.fill_null(0).to_numpy(zero_copy_only=False).astype(np.float64).reshape(height, width)
-                valid = ~nulls.reshape(height, width) & (cells != nodata)
-                row0, col0 = row * tile_height, col * tile_width
+            # Tiles of one shape that start alike within a block are halved together.
+            kinds, kind = np.unique(np.stack([height, width, row0 % 2, col0 % 2]), axis=1, return_inverse=True)
+            for number, (h, w, odd_row, odd_col) in enumerate(kinds.T.tolist()):
+                at = np.flatnonzero(kind.ravel() == number)
+                where = (starts[at][:, None] + np.arange(h * w)).reshape(-1, h, w)
                 # Start and end at whole blocks.
-                pad = ((row0 % 2, (row0 + height) % 2), (col0 % 2, (col0 + width) % 2))
-                shape = (height + sum(pad[0])) // 2, 2, (width + sum(pad[1])) // 2, 2
-                sums = np.pad(np.where(valid, cells, 0.0), pad).reshape(shape).sum(axis=(1, 3))
-                counts = np.pad(valid, pad).reshape(shape).sum(axis=(1, 3), dtype=np.uint8)
-                if counts.any():
-                    up, back = row // 2, col // 2
-                    made.append((name, up, back, row0 // 2 - up * tile_height, col0 // 2 - back * tile_width, *counts.shape, sums.tobytes(), counts.tobytes()))
+                pad = ((0, 0), (odd_row, (odd_row + h) % 2), (odd_col, (odd_col + w) % 2))
+                shape = len(at), (h + sum(pad[1])) // 2, 2, (w + sum(pad[2])) // 2, 2
+                sums = np.pad(cells[where], pad).reshape(shape).sum(axis=(2, 4))
+                counts = np.pad(valid[where], pad).reshape(shape).sum(axis=(2, 4), dtype=np.uint8)
+                for k in np.flatnonzero(counts.any(axis=(1, 2))):
+                    i = at[k]
+                    up, back = row[i] // 2, col[i] // 2
+                    top, left = row0[i] // 2 - up * tile_height, col0[i] // 2 - back * tile_width
+                    made.append((names[i], up, back, top, left, *counts.shape[1:], sums[k].tobytes(), counts[k].tobytes()))
             if made:
                 columns = list(zip(*made))
                 ints = [pa.array(c, pa.int32()) for c in columns[1:7]]
