@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from vitalgrid.functions import clean
 
 # Up to so many fields are looked up one by one in the parsed record; more come out of its text in one pass.
-FEW = 5
+FEW = 12
 
 
 def once(df: DataFrame, *columns: Column) -> DataFrame:
