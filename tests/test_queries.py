@@ -2,6 +2,7 @@ import pytest
 
 import check
 from __spark_entry__ import entry, oracle_sql, queries
+from conftest import rows
 from vitalgrid.workload import all_queries
 
 FOLDER = "/root/testdata/sf0.001"
@@ -30,3 +31,14 @@ def test_no_cross_join_and_no_python_in_any_plan(spark):
             if bad.startswith("SinglePartition") and name == "load_metrics":
                 continue
             assert bad not in plan, (name, bad)
+
+
+def test_run_delete_gives_rows_and_totals(spark, tmp_path):
+    orders = [(1, "F"), (2, "P"), (3, "O"), (3, "O"), (4, None), (None, "F")]
+    points = [(1, 1, 5.0), (1, 2, 7.0), (2, 1, 100.0), (3, 1, 2.0), (3, None, 4.0), (3, None, None), (4, 1, 50.0), (None, 1, 60.0), (9, 1, 70.0)]
+    spark.createDataFrame(orders, "o_orderkey bigint, o_orderstatus string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(points, "l_orderkey bigint, l_linenumber int, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = queries()["run_delete"](spark, str(tmp_path))
+    assert rows(got, "run_id", "t", "infected", "points_at_t", "infected_at_t") == [
+        (1, 1, 5, 2, 7), (1, 2, 7, 1, 7), (3, 1, 2, 2, 7), (3, None, 4, 2, 4), (3, None, None, 2, 4),
+    ]

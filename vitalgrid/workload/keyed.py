@@ -161,9 +161,12 @@ def _points(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def run_delete(spark: SparkSession, sf: str) -> DataFrame:
-    """Points left after the runs with status P are deleted."""
+    """Points left after the runs with status P are deleted, each with the number and the sum of those left at its time."""
     left = _runs(spark, sf).where(F.col("o_orderstatus") != "P")
-    return merge.cascade_delete(left, _points(spark, sf), "id", "run_id")
+    kept = merge.cascade_delete(left, _points(spark, sf), "id", "run_id")
+    # An aggregate and a join, not a window: few times hold all points.
+    totals = kept.groupBy(F.col("t").alias("_t")).agg(F.count("*").alias("points_at_t"), F.sum("infected").alias("infected_at_t"))
+    return kept.join(totals, F.col("t").eqNullSafe(F.col("_t"))).drop("_t")
 
 
 QUERIES = {
@@ -293,6 +296,12 @@ WITH newest AS (
 SELECT o_orderkey AS run_id, o_custkey AS iso3, year, l_linenumber AS t, CAST(l_quantity AS BIGINT) AS infected
 FROM newest JOIN lineitem ON l_orderkey = o_orderkey""",
     "run_delete": """
-SELECT l_orderkey AS run_id, l_linenumber AS t, CAST(l_quantity AS BIGINT) AS infected
-FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')""",
+WITH kept AS (
+  SELECT l_orderkey AS run_id, l_linenumber AS t, CAST(l_quantity AS BIGINT) AS infected
+  FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')
+),
+totals AS (
+  SELECT t AS total_t, count(*) AS points_at_t, CAST(sum(infected) AS BIGINT) AS infected_at_t FROM kept GROUP BY t
+)
+SELECT run_id, t, infected, points_at_t, infected_at_t FROM kept JOIN totals ON t IS NOT DISTINCT FROM total_t""",
 }
