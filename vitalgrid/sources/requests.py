@@ -27,8 +27,23 @@ def raster_requests(countries: DataFrame, years: tuple[int, int] = RASTER_YEARS)
     )
 
 
-def age_requests(countries: DataFrame, years: tuple[int, int] = RASTER_YEARS) -> DataFrame:
+def age_requests(countries: DataFrame, years: tuple[int, int] = RASTER_YEARS, together: bool = False) -> DataFrame:
+    """One row per country, year and age code.
+
+    With ``together`` one per country and age code, with the columns of ``countries``
+    and ``requests`` (year, url, filename) of all years: to ask something of them
+    needs no exchange and no sort, whatever the number of countries.
+    """
     codes = F.array(*[F.lit(c) for c in refdata.RASTER_AGE_CODES])
+    if together:
+        first, last = years
+        urls = F.transform(
+            F.sequence(F.lit(first), F.lit(last)),
+            lambda y: F.struct(y.alias("year"), files.age_url(F.col("iso3"), y, F.col("age_code")).alias("url")),
+        )
+        named = F.transform(urls, lambda r: F.struct(r["year"], r["url"], files.base_name(r["url"]).alias("filename")))
+        # Behind a generator, so that the array is built once however often it is looked at.
+        return countries.select("*", F.explode(codes).alias("age_code")).select("*", F.explode(F.array(named)).alias("requests"))
     expanded = country_years(countries, years).select("iso3", "year", F.explode(codes).alias("age_code"))
     url = files.age_url(F.col("iso3"), F.col("year"), F.col("age_code"))
     return expanded.withColumn("url", url).withColumn("filename", files.base_name(F.col("url")))

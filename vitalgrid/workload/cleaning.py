@@ -122,9 +122,13 @@ def run_params(spark: SparkSession, sf: str) -> DataFrame:
 def request_manifest(spark: SparkSession, sf: str) -> DataFrame:
     """Age raster requests with every supplier as a country."""
     wanted = table(spark, sf, "supplier").select(F.concat(F.lit("S"), "s_suppkey").alias("iso3"))
-    return (
-        requests.age_requests(wanted, (2015, 2026)).groupBy("iso3", "age_code")
-        .agg(F.count("*").alias("files"), F.min("url").alias("first_url"), F.max("filename").alias("last_name"))
+    # Repeated countries meet before they are expanded. The number of tasks is given, as the rows
+    # are small here and 240 times as many later.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    countries = wanted.repartition(tasks, "iso3").groupBy("iso3").agg(F.count("*").alias("times"))
+    return requests.age_requests(countries, (2015, 2026), together=True).select(
+        "iso3", "age_code", (F.col("times") * F.size("requests")).alias("files"),
+        F.array_min("requests.url").alias("first_url"), F.array_max("requests.filename").alias("last_name"),
     )
 
 
