@@ -34,10 +34,10 @@ LEXICONS = {
     "french": "imbécile crétin abruti débile connard minable raclure",
     "spanish": "imbécil estúpido estúpida inútil basura asqueroso patético",
 }
-# Voters: patterns over the lower-cased text.
+# Voters: patterns over the lower-cased text. A look at the first letter comes before the dearer look for a word's border.
 PATTERNS = {
-    "you are": r"\b(you are|you're|youre|u r)( all| just| such)? (a|an|the)\b",
-    "shut up": r"\b(shut up|get lost|go away|drop dead|i hate you|nobody likes)\b",
+    "you are": r"(?=[uy])\b(you are|you're|youre|u r)( all| just| such)? (a|an|the)\b",
+    "shut up": r"(?=[dgins])\b(shut up|get lost|go away|drop dead|i hate you|nobody likes)\b",
     "marks": r"[!?]{3,}",
 }
 TOKEN = r"[\p{L}\p{N}]+"
@@ -71,14 +71,26 @@ def heads(n: int) -> Column:
     return F.array_distinct(F.transform("tokens", lambda t: F.left(t, F.lit(n))))
 
 
-def begun(stems: list[str]) -> Column:
+def stem_like(stems: list[str], n: int = min(STEM_LENGTHS)) -> Column:
+    """The tokens that may begin with a stem, by their first ``n`` characters: few, so that each list looks at these only."""
+    near = sorted({stem[:n] for stem in stems if len(stem) >= n})
+    tests = [(k, sorted({stem for stem in stems if len(stem) == k})) for k in sorted({len(stem) for stem in stems if len(stem) < n})]
+    tests += [(n, near)] if near else []
+
+    def may_begin(t: Column) -> Column:
+        return reduce(lambda a, b: a | b, [F.left(t, F.lit(k)).isin(own) for k, own in tests], F.lit(False))
+
+    return F.filter("tokens", may_begin)
+
+
+def begun(stems: list[str], tokens: str = "tokens") -> Column:
     """Whether any token begins with one of the stems, looked up by length."""
     by_length: dict[int, list[str]] = {}
     for stem in stems:
         by_length.setdefault(len(stem), []).append(stem)
 
     def any_of(n: int, own: list[str]) -> Column:
-        return F.exists("tokens", lambda t: F.left(t, F.lit(n)).isin(own))
+        return F.exists(tokens, lambda t: F.left(t, F.lit(n)).isin(own))
 
     return reduce(lambda a, b: a | b, [any_of(n, own) for n, own in sorted(by_length.items())], F.lit(False))
 
@@ -92,11 +104,11 @@ def with_votes(rows: DataFrame, stems: list[str]) -> DataFrame:
     every = F.array(*[F.lit(w) for w in sorted({w for words in lists for w in words})])
     rows = rows.select("*", F.explode(F.array(F.array_intersect("tokens", every))).alias("hits"))
     fires = [F.arrays_overlap("hits", F.array(*[F.lit(w) for w in words])) for words in lists] + [F.col("low").rlike(p) for p in PATTERNS.values()]
-    rows = rows.select("*", F.explode(F.array(begun(stems))).alias("stemmed"))
+    rows = rows.select("*", F.explode(F.array(stem_like(stems))).alias("stem_like"))
     for k in range(STEM_VOTERS):
-        fires.append(F.when(F.col("stemmed"), begun(stems[k::STEM_VOTERS])))
+        fires.append(F.when(F.size("stem_like") > 0, begun(stems[k::STEM_VOTERS], "stem_like")))
     votes = reduce(lambda a, b: a.bitwiseOR(b), [F.when(f, 1 << j).otherwise(0) for j, f in enumerate(fires)])
-    return rows.withColumn("votes", votes).drop("hits", "stemmed")
+    return rows.withColumn("votes", votes).drop("hits", "stem_like")
 
 
 N_VOTERS = len(LEXICONS) + len(PATTERNS) + STEM_VOTERS
@@ -199,23 +211,27 @@ def label_model(patterns: dict[tuple[int, int | None], int], n_voters: int = N_V
 
 
 def featured(voted: DataFrame, bits: int = BITS) -> DataFrame:
-    """Rows with ``buckets``: the distinct hashes of tokens, of their beginnings, and of the voters that fire."""
+    """Rows with ``buckets``: the hashes of tokens, of the beginnings of longer ones, and of the voters that fire.
+
+    A bucket may come several times; its first place is that of the first term in it.
+    """
 
     def bucket(term: Column) -> Column:
-        return F.pmod(F.hash(term), F.lit(1 << bits))
+        return F.hash(term).bitwiseAND((1 << bits) - 1)
 
     def first(n: int) -> Column:
-        return F.transform("tokens", lambda t: bucket(F.left(t, F.lit(n))))
+        return F.transform(F.filter("tokens", lambda t: F.length(t) > n), lambda t: bucket(F.left(t, F.lit(n))))
 
     fired = F.filter(F.array(*[F.when(F.col("votes").bitwiseAND(1 << j) != 0, bucket(F.lit(f"\x00{j}"))) for j in range(N_VOTERS)]), lambda x: x.isNotNull())
     parts = [F.transform("tokens", bucket), *[first(n) for n in HEADS], fired]
-    return voted.withColumn("buckets", F.array_distinct(F.concat(*parts))).drop("low", "tokens")
+    return voted.withColumn("buckets", F.concat(*parts)).drop("low", "tokens")
 
 
 @F.udf(VectorUDT())
 def presence(buckets):
     """One for each bucket, as a vector to train on."""
-    return Vectors.sparse(1 << BITS, sorted(buckets), [1.0] * len(buckets))
+    found = sorted(set(buckets))
+    return Vectors.sparse(1 << BITS, found, [1.0] * len(found))
 
 
 @dataclass
@@ -230,9 +246,13 @@ class Trained:
         used = np.flatnonzero(self.weights).tolist()  # few: the penalty leaves most buckets without weight
         if not used:
             return F.lit(1 / (1 + math.exp(-self.intercept)))
-        weights = F.create_map(*[F.lit(x) for b in used for x in (b, float(self.weights[b]))])
+        # A map is searched from its start, so the weights are dealt over many small ones by the low bits of their bucket.
+        maps: list[list[Column]] = [[F.lit(-1), F.lit(0.0)] for _ in range(256)]
+        for b in used:
+            maps[b % 256] += [F.lit(b), F.lit(float(self.weights[b]))]
+        weights = F.array(*[F.create_map(*pairs) for pairs in maps])
         hits = F.array_intersect("buckets", F.array(*[F.lit(b) for b in used]))
-        margin = F.aggregate(hits, F.lit(self.intercept), lambda total, b: total + weights[b])
+        margin = F.aggregate(hits, F.lit(self.intercept), lambda total, b: total + F.get(weights, b.bitwiseAND(255))[b])
         return 1 / (1 + F.exp(-margin))
 
 
