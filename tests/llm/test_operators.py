@@ -410,3 +410,36 @@ def test_quality_takes_one_text_a_document(spark):
     repeated = docs.union(docs.filter("doc_id = 3").crossJoin(spark.range(200)).select("doc_id", "text"))
     one, many = (quality.fit(d, ratings, 3) for d in (docs, repeated))
     assert one.score(b"good prose") == many.score(b"good prose")
+
+
+def test_toxicity_score_looks_once_at_tokens(spark):
+    """Scores equal a sum over exploded terms; only the few tokens like a stem are looked up in the lists."""
+    texts = ["", None, "Lügen lügen abcdefghijk abcd", "x xy lügner!!! abcdefg", "you are a moron x", "abcdef shut up, 日本語日本語日本語 " * 3]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    stems = ["x", "lüg", "abcde", "abcdef", "日本語日"]
+    n = toxicity.N_VOTERS
+    labels = toxicity.LabelModel(0.1, [(v,) for v in range(n)], [np.full((2, 2), 0.5)] * n)
+    weights = np.where(np.arange(1 << toxicity.BITS) % 3 == 0, 0.0, np.arange(1 << toxicity.BITS) % 1000 / 4000 - 0.1)
+    weights[np.arange(1 << toxicity.BITS) % 40 > 0] = 0.0
+    tokens = toxicity.tokens_of(docs)
+    voted = toxicity.with_votes(tokens, stems)
+    apart = tokens.select("doc_id", F.explode_outer("tokens").alias("t"))
+    first = n - toxicity.STEM_VOTERS
+    for k in range(toxicity.STEM_VOTERS):
+        own = stems[k :: toxicity.STEM_VOTERS]
+        want = {r.doc_id for r in apart.collect() if r.t is not None and any(r.t.startswith(s) for s in own)}
+        assert {r.doc_id for r in voted.collect() if r.votes >> first + k & 1} == want
+    # Every bucket of the terms has weight, so that repeats would show.
+    terms = apart.select("doc_id", F.explode(F.array("t", *[F.left("t", F.lit(h)) for h in toxicity.HEADS])).alias("x")).filter("x is not null")
+    fired = [(r.doc_id, f"\x00{j}") for r in voted.collect() for j in range(n) if r.votes >> j & 1]
+    terms = terms.union(spark.createDataFrame(fired, "doc_id bigint, x string"))
+    found = terms.select("doc_id", F.pmod(F.hash("x"), F.lit(1 << toxicity.BITS)).alias("b")).distinct().collect()
+    for r in found:
+        weights[r.b] = (r.b % 1000 + 1) / 4000
+    want = {i: 1 / (1 + np.exp(1 - sum(weights[r.b] for r in found if r.doc_id == i))) for i in range(len(texts))}
+    scored = toxicity.score(docs, toxicity.Trained(stems, labels, weights, -1.0))
+    got = {r.doc_id: r.score for r in scored.collect()}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-12 for i in want)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "exists(tokens#" not in plan and "exists(stem_like#" in plan
+    assert "array_distinct(concat(" not in plan
